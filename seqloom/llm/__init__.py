@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("exact_dedup",)
+MODULES = ("exact_dedup", "sentencepiece_codec")
 
 
 def _all(name: str) -> dict:
