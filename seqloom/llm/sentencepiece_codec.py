@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
 from .common import documents
@@ -184,7 +185,7 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col:
     """docs with a column of ids (array<int>). An existing column of that name is replaced."""
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(ids_col)
-    schema = keep.schema.add(ids_col, "array<int>")
+    schema = T.StructType([*keep.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = _codec(sent.value)
@@ -201,7 +202,7 @@ def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", t
     """encoded with the text of its ids in text_col, which is replaced if it exists; null ids give null."""
     sent = _model(encoded.sparkSession, model)
     keep = encoded.drop(text_col)
-    schema = keep.schema.add(text_col, "string")
+    schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = _codec(sent.value)
