@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "sentencepiece_codec", "token_counts")
+MODULES = ("exact_dedup", "sentencepiece_codec", "token_counts", "mixing")
 
 
 def _all(name: str) -> dict:

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 from os.path import commonprefix
 
 #: Checked pairs that one worker remembers before it starts afresh.
-PAIRS = 1_000_000
+PAIRS = 200_000
 
 
 class TrieBpe:

@@ -20,7 +20,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
@@ -94,7 +93,7 @@ class PieceCodec:
         if len(self.bytes_) != 256:
             raise ValueError("the model has no byte fallback")
         self.trie = TrieBpe({self.pieces[i]: -scores[i] for i in normal})
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         #: The text that a piece stands for, but for bytes of longer characters, unknown and control pieces.
         self.plain = {i: p if k == NORMAL else chr(int(p[3:5], 16)) for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == NORMAL or k == BYTE and int(p[3:5], 16) < 128}
         self.odd = np.array([i not in self.plain for i in range(len(self.pieces))])
@@ -130,13 +129,10 @@ class PieceCodec:
             self.known.clear()
             new = set().union(*block)
         for word, tokens in self.trie.tokens(sorted(new)).items():
-            self.known[word] = [i for t in tokens for i in self._ids_of(t)]
-        known = self.known
+            self.known[word] = np.array([i for t in tokens for i in self._ids_of(t)], np.int32).tobytes()
+        get = self.known.__getitem__
         for words in block:
-            out: list[int] = []
-            for word in words:
-                out += known[word]
-            yield np.array(out, np.int32)
+            yield np.frombuffer(b"".join(map(get, words)), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids; control ids give nothing, bytes that aren't UTF-8 give U+FFFD."""
@@ -181,53 +177,60 @@ def _model(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+Batches = Iterable[pd.DataFrame]
+
+
+def encoded(batches: Batches, codec: PieceCodec, text_col: str, ids_col: str) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for at in range(0, len(pdf), 500):
+            part = pdf.iloc[at : at + 500].copy()
+            part[ids_col] = list(codec.encode(part[text_col]))
+            yield part
+
+
+def decoded(batches: Batches, codec: PieceCodec, ids_col: str, text_col: str) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for at in range(0, len(pdf), 500):
+            part = pdf.iloc[at : at + 500].copy()
+            part[text_col] = [None if ids is None else codec.decode(ids) for ids in part[ids_col]]
+            yield part
+
+
 def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
     """docs with a column of ids (array<int>). An existing column of that name is replaced."""
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(ids_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    return keep.mapInPandas(lambda batches: encoded(batches, _codec(sent.value), text_col, ids_col), schema)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(sent.value)
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part = pdf.iloc[at : at + 500].copy()
-                part[ids_col] = list(codec.encode(part[text_col]))
-                yield part
 
-    return keep.mapInPandas(run, schema)
+def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
+    """docs with the text of their ids in text_col, which is replaced if it exists; null ids give null."""
+    sent = _model(docs.sparkSession, model)
+    keep = docs.drop(text_col)
+    schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])
+    return keep.mapInPandas(lambda batches: decoded(batches, _codec(sent.value), ids_col, text_col), schema)
+
 
+def digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
+    """doc_id, n_ids, ids_sha256 (of the ids as little-endian 32-bit integers), round_trip (the decoded text is the text).
 
-def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
-    """encoded with the text of its ids in text_col, which is replaced if it exists; null ids give null."""
-    sent = _model(encoded.sparkSession, model)
-    keep = encoded.drop(text_col)
-    schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])
+    Encodes and decodes in one Python worker, so neither ids nor decoded texts travel.
+    """
+    sent = _model(docs.sparkSession, model)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Batches) -> Iterator[pd.DataFrame]:
         codec = _codec(sent.value)
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part = pdf.iloc[at : at + 500].copy()
-                part[text_col] = [None if ids is None else codec.decode(ids) for ids in part[ids_col]]
-                yield part
+        for pdf in decoded(encoded(batches, codec, "text", "ids"), codec, "ids", "decoded"):
+            out = pdf[["doc_id"]].assign(n_ids=[len(x) for x in pdf["ids"]])
+            out["ids_sha256"] = [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in pdf["ids"]]
+            yield out.assign(round_trip=pdf["text"].fillna("") == pdf["decoded"])
 
-    return keep.mapInPandas(run, schema)
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_ids long, ids_sha256 string, round_trip boolean")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_ids, ids_sha256 (of the ids as little-endian 32-bit integers), round_trip."""
-    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    out = decode(encode(docs))
-
-    def digest(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["ids_sha256"] = [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in pdf["piece_ids"]]
-            pdf["n_ids"] = pdf["piece_ids"].str.len().astype("int64")
-            pdf["round_trip"] = pdf["text"] == pdf["decoded"]
-            yield pdf[["doc_id", "n_ids", "ids_sha256", "round_trip"]]
-
-    return out.mapInPandas(digest, "doc_id long, n_ids long, ids_sha256 string, round_trip boolean")
+    return digest(documents(spark, sf_dir))
 
 
 QUERIES = {"op6_sentencepiece": op6_sentencepiece}
