@@ -12,7 +12,6 @@ equal ones the leftmost. That is the rule of the public byte-level vocabularies
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from os.path import commonprefix
 
 #: Checked pairs that one worker remembers before it starts afresh.
 PAIRS = 200_000
@@ -60,20 +59,27 @@ class TrieBpe:
         The two lists are reused: read them before the next word.
         """
         last, count, before = [None], [0], None
-        ranks, fits, lengths, cache = self.ranks, self.fits, self._lengths, self._fits
+        ranks, fits, lengths, cached = self.ranks, self.fits, self._lengths.get, self._fits.get
         for word in words:
-            shared = 0 if before is None else len(commonprefix((before, word)))
-            del last[shared + 1 :], count[shared + 1 :]
-            empty = word[:0]
+            shared = 0
+            if before is not None:
+                for a, b in zip(before, word):  # noqa: B905
+                    if a != b:
+                        break
+                    shared += 1
+                del last[shared + 1 :], count[shared + 1 :]
             for i in range(shared + 1, len(word) + 1):
-                for n in lengths.get(word[i - 2 : i] if i > 1 else empty, ()):
-                    if n > i:
-                        continue
-                    token = word[i - n : i]
-                    if token in ranks:
-                        left = last[i - n] if n < i else empty
-                        ok = cache.get((left, token))
-                        if ok if ok is not None else fits(left, token):
+                for n in lengths(word[i - 2 : i], ()) if i > 1 else ():
+                    if n < i:
+                        token = word[i - n : i]
+                        if token in ranks:
+                            left = last[i - n]
+                            ok = cached((left, token))
+                            if ok or ok is None and fits(left, token):
+                                break
+                    elif n == i:
+                        token = word[:i]
+                        if token in ranks and fits(token[:0], token):
                             break
                 else:
                     n, token = 1, word[i - 1 : i]
@@ -82,16 +88,16 @@ class TrieBpe:
             before = word
             yield word, last, count
 
-    def tokens(self, words: Iterable) -> dict:
-        """word -> its tokens, for sorted distinct words."""
-        out = {}
+    def tokens(self, words: Iterable) -> Iterator[tuple]:
+        """(word, its tokens) of each of the sorted distinct words."""
         for word, last, _ in self.walk(words):
             found, i = [], len(word)
             while i:
-                found.append(last[i])
-                i -= len(last[i])
-            out[word] = found[::-1]
-        return out
+                token = last[i]
+                found.append(token)
+                i -= len(token)
+            found.reverse()
+            yield word, found
 
     def counts(self, words: Iterable) -> dict:
         """word -> number of its tokens (the count at its node of the trie), for sorted distinct words."""

@@ -28,7 +28,7 @@ from .common import documents
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Marked words whose ids one worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -99,13 +99,17 @@ class PieceCodec:
         self.odd = np.array([i not in self.plain for i in range(len(self.pieces))])
 
     def marked(self, text: str) -> list[str]:
-        """The marked words of a text, in order."""
-        text = text.replace(" ", MARK)
-        if self.dummy:
-            text = MARK + text
-        if MARK * 2 in text or not self.dummy or text[-1] == MARK:
-            return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text)
-        return [MARK + w for w in text[1:].split(MARK)]
+        """The marked words of a text, in order; a word with one mark before it is given without the mark."""
+        if self.dummy and "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        text = (MARK if self.dummy else "") + text.replace(" ", MARK)
+        words = re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text)
+        return [w[1:] if w[0] == MARK and w[1:2] not in ("", MARK) else MARK * 2 + w for w in words]
+
+    @staticmethod
+    def _whole(word: str) -> str:
+        """The marked word that ``marked`` gave: two marks more stand before those that aren't one mark and a word."""
+        return word[2:] if word[:2] == MARK * 2 else MARK + word
 
     def _ids_of(self, token: str) -> list[int]:
         found = self.ids.get(token)
@@ -128,8 +132,9 @@ class PieceCodec:
         if len(self.known) + len(new) > REMEMBERED and self.known:
             self.known.clear()
             new = set().union(*block)
-        for word, tokens in self.trie.tokens(sorted(new)).items():
-            self.known[word] = np.array([i for t in tokens for i in self._ids_of(t)], np.int32).tobytes()
+        whole = {self._whole(word): word for word in new}
+        for marked, tokens in self.trie.tokens(sorted(whole)):
+            self.known[whole[marked]] = np.array([i for t in tokens for i in self._ids_of(t)], np.int32).tobytes()
         get = self.known.__getitem__
         for words in block:
             yield np.frombuffer(b"".join(map(get, words)), np.int32)
