@@ -79,7 +79,7 @@ def luhn(digits: Column) -> Column:
     back = F.reverse(digits)
 
     def add(total: Column, i: Column) -> Column:
-        d = F.substring(back, i, F.lit(1)).cast("int")
+        d = F.substring(back, i, F.lit(1)).try_cast("int")
         return total + F.when(i % 2 == 1, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
 
     return F.coalesce(F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(digits))), F.lit(0), add) % 10 == 0, F.lit(False))
@@ -258,7 +258,7 @@ def passes(kind: str, value: Column) -> Column:
         return F.lit(True)
     if kind == "ip":
         part = lambda p: F.regexp_replace(p, "^0+", "")
-        return F.forall(F.split(value, "\\."), lambda p: (F.length(part(p)) <= 3) & (F.coalesce(part(p).cast("int"), F.lit(0)) <= 255))
+        return F.forall(F.split(value, "\\."), lambda p: (F.length(part(p)) <= 3) & (F.coalesce(part(p).try_cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return F.when(n.between(13, 19), luhn(_digits(value))).otherwise(False)
     return n.between(9, 15)
