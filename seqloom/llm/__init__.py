@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "sentencepiece_codec", "token_counts", "mixing", "quality_rules", "pii", "near_dedup", "line_dedup", "quality_classifier")
+MODULES = ("exact_dedup", "sentencepiece_codec", "token_counts", "mixing", "quality_rules", "pii", "near_dedup", "line_dedup", "quality_classifier", "licenses")
 
 
 def _all(name: str) -> dict:
