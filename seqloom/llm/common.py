@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -80,12 +82,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written once to the shared folder and read back: a cut of the lineage that survives lost executors."""
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """While it holds, Python workers get at most this many rows in a batch (long texts make large batches)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """df, written once to the shared folder and read back: a cut of the lineage that survives lost executors.
+
+    batch: rows of a Python worker's batch while df is made.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    with batches_of(spark, batch):
+        df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

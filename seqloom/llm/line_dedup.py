@@ -22,15 +22,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WordHashes, documents, mixed, rolled, stored, words_of
+from .mixing import n_words
 from .near_dedup import _with
 
-GRAM, WINDOW, LEAST = 25, 26, 50
+GRAM, WINDOW, LEAST = 16, 35, 50
 COPY = 0.8
 #: Rows of (document, runs) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -38,50 +38,62 @@ _BASE = 0x9E3779B97F4A7C15
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def text_hash(text: str) -> int:
-    """Signed 64-bit hash of a text: with the doc_id it names a document."""
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+#: Powers of the base and of its inverse (modulo 2**64), made longer as needed.
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("up", ())) < n:
+        size = max(n, 1 << 15)
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            step = np.full(size, base, np.uint64)
+            step[0] = 1
+            _POWERS[name] = np.cumprod(step)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
 def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n items from each item on, by differences of one cumulated sum (modulo 2**64)."""
     if len(hashes) < n:
         return hashes[:0]
-    step = np.full(len(hashes), _BASE, np.uint64)
-    step[0] = 1
-    powers = np.cumprod(step)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers)])
-    inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-    step[:] = inverse
-    step[0] = 1
-    return mixed((sums[n:] - sums[:-n]) * np.cumprod(step)[: len(hashes) - n + 1])
+    up, down = _powers(len(hashes))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up, out=sums[1:])
+    return mixed((sums[n:] - sums[:-n]) * down[: len(hashes) - n + 1])
+
+
+def _sliding(x: np.ndarray, n: int, best) -> np.ndarray:
+    """The best of each n neighbours, by doubling."""
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        x = best(x[:-step], x[step:])
+        done += step
+    return x
 
 
 def winnowed(grams: np.ndarray) -> np.ndarray:
-    """Positions of the smallest hash of each window (the last one where it stands twice)."""
+    """Positions of the smallest hash of each window (each of them where it stands twice)."""
     if not len(grams):
         return np.zeros(0, np.int64)
     w = min(WINDOW, len(grams))
-    view = np.lib.stride_tricks.sliding_window_view(grams, w)
-    at = np.arange(len(view)) + w - 1 - view[:, ::-1].argmin(axis=1)
-    return np.unique(at)
+    least = _sliding(grams, w, np.minimum)
+    edge = np.zeros(w - 1, np.uint64)
+    return np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), w, np.maximum) == grams)
 
 
 def _fingerprints(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for pdf in batches:
-        keys, ids, hs, at = [], [], [], []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+        keys, at, n = [], [], []
+        for text in pdf["text"]:
             grams = run_hashes(hashes.of(words_of(text)), GRAM)
-            if len(grams) <= LEAST - GRAM:
-                continue
-            found = winnowed(grams)
+            found = winnowed(grams) if len(grams) > LEAST - GRAM else np.zeros(0, np.int64)
             keys.append(grams[found].view(np.int64))
             at.append(found.astype(np.int32))
-            ids.append(np.full(len(found), doc_id, np.int64))
-            hs.append(np.full(len(found), text_hash(text), np.int64))
-        if keys:
-            yield pd.DataFrame({"key": np.concatenate(keys), "doc_id": np.concatenate(ids), "h": np.concatenate(hs), "pos": np.concatenate(at)})
+            n.append(len(found))
+        if n:
+            yield pd.DataFrame({"key": np.concatenate(keys), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), n), "h": np.repeat(pdf["h"].to_numpy(), n), "pos": np.concatenate(at)})
 
 
 def _around(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,7 +110,7 @@ def _around(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"key": runs[found].view(np.int64), "doc_id": doc_id, "h": h, "pos": found.astype(np.int32)})
 
 
-def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray, same: bool) -> tuple[list, list]:
+def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> tuple[list, list]:
     """(runs, short): extended matches of LEAST words or more as (start, end) in own; places whose match is shorter."""
     runs: list[tuple[int, int]] = []
     short: list[int] = []
@@ -121,21 +133,26 @@ def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_p
 def _extended(batches: Iterable[pd.DataFrame], find_short: bool) -> Iterator[pd.DataFrame]:
     """(doc_id, h, runs, copy, short keys) of each pair of a document with a first place's document."""
     hashes = WordHashes()
+    name, first, shingles = None, None, None
     for pdf in batches:
         rows = []
         for x in pdf.itertuples(index=False):
             own = hashes.of(words_of(x.text))
-            same = x.doc_id == x.first_id and x.h == x.first_h
-            first = own if same else hashes.of(words_of(x.first_text))
-            places, first_places, keys = (np.asarray(y) for y in (x.places, x.first_places, x.keys))
-            runs, short = matched_runs(own, first, places, first_places, same)
+            if name != (x.first_id, x.first_h):
+                name, first, shingles = (x.first_id, x.first_h), hashes.of(words_of(x.first_text)), None
+            same = (x.doc_id, x.h) == name
+            runs, short = matched_runs(own, first, np.asarray(x.places), np.asarray(x.first_places))
             copy = False
-            if not same and 10 * sum(b - a for a, b in runs) >= 3 * len(own):
-                s, t = np.unique(rolled(own, 5)), np.unique(rolled(first, 5))
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                copy = both >= COPY * (len(s) + len(t) - both)
-            lost = dict(zip(places.tolist(), keys.tolist(), strict=True))
-            rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, [lost[p] for p in short] if find_short else []))
+            if not same and 10 * sum(b - a for a, b in runs) >= 3 * max(len(own), len(first)):
+                shingles = np.unique(rolled(first, 5)) if shingles is None else shingles
+                own_shingles = np.unique(rolled(own, 5))
+                both = len(np.intersect1d(own_shingles, shingles, assume_unique=True))
+                copy = both >= COPY * (len(own_shingles) + len(shingles) - both)
+            keys = np.zeros(0, np.int64)
+            if find_short and short:
+                many = dict(zip(x.places.tolist(), x.many.tolist(), strict=True))
+                keys = run_hashes(own, GRAM).view(np.int64)[[p for p in short if many[p]]]
+            rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, keys))
         yield pd.DataFrame(rows, columns=["doc_id", "h", "starts", "ends", "copy", "short"])
 
 
@@ -144,16 +161,18 @@ _RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean,
 
 def _joined(keys: DataFrame, texts: DataFrame, find_short: bool) -> DataFrame:
     """Extended matches of every later place with the first place of its key."""
-    first = keys.groupBy("key").agg(F.min(F.struct("doc_id", "h", "pos")).alias("f"), F.count("*").alias("n")).where("n > 1")
-    first = first.select("key", F.col("f.doc_id").alias("first_id"), F.col("f.h").alias("first_h"), F.col("f.pos").alias("first_pos"))
-    later = keys.join(first, "key").where("doc_id <> first_id or h <> first_h or pos <> first_pos")
-    place = F.array_sort(F.collect_set(F.struct("pos", "first_pos", "key")))
-    pairs = later.groupBy("doc_id", "h", "first_id", "first_h").agg(place.alias("p"))
-    pairs = stored(pairs.select("doc_id", "h", "first_id", "first_h", F.col("p.pos").alias("places"), F.col("p.first_pos").alias("first_places"), F.col("p.key").alias("keys")), "pairs")
+    # the least id first: numbers alone aggregate by hash; then the least place of that id
+    least = keys.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    met = stored(keys.join(least, "key"), "met")
+    first = met.where("doc_id = first_id").groupBy("key").agg(F.min(F.struct("h", "pos")).alias("f"))
+    later = met.join(first, "key").where("doc_id <> first_id or h <> f.h or pos <> f.pos")
+    place = F.array_sort(F.collect_set(F.struct("pos", F.col("f.pos").alias("first_pos"), (F.col("n") > 2).alias("many"))))
+    pairs = later.groupBy("doc_id", "h", "first_id", F.col("f.h").alias("first_h")).agg(place.alias("p"))
+    pairs = stored(pairs.select("doc_id", "h", "first_id", "first_h", F.col("p.pos").alias("places"), F.col("p.first_pos").alias("first_places"), F.col("p.many").alias("many")), "pairs")
     names = pairs.select("doc_id", "h").unionByName(pairs.select(F.col("first_id").alias("doc_id"), F.col("first_h").alias("h"))).distinct()
     held = _some(texts, names).dropDuplicates(["doc_id", "h"])
     both = pairs.join(held, ["doc_id", "h"]).join(held.select(F.col("doc_id").alias("first_id"), F.col("h").alias("first_h"), F.col("text").alias("first_text")), ["first_id", "first_h"])
-    return stored(both.mapInPandas(_with(_extended, find_short), _RUNS), "runs")
+    return stored(both.mapInPandas(_with(_extended, find_short), _RUNS), "runs", 500)
 
 
 def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -163,26 +182,20 @@ def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(names) if few else names, ["doc_id", "h"], "left_semi")
 
 
-def _named(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        pdf["h"] = [0 if t is None else text_hash(t) for t in pdf["text"]]
-        yield pdf[["doc_id", "h", "text"]]
-
-
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, h, starts, ends, copy): word ranges of each document that stand earlier in the corpus, by document.
 
-    h is ``text_hash``. Ranges may overlap. copy: the document is a near duplicate of one that its ranges come from.
+    h is the text's xxhash64, which with the doc_id names a document. Ranges may overlap. copy: the document is a near duplicate of one that its ranges come from.
     """
     whole = docs.where("doc_id is not null").select("doc_id", "text")
-    prints = stored(whole.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints")
-    texts = whole.mapInPandas(_named, "doc_id long, h long, text string")
+    texts = whole.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", 2000)
     found = _joined(prints, texts, True)
     short = found.select(F.explode("short").alias("key")).distinct()
     again = prints.join(short, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places"))
     again = stored(again, "places")
     around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
-    keys = stored(around.mapInPandas(_around, "key long, doc_id long, h long, pos int"), "keys")
+    keys = stored(around.mapInPandas(_around, "key long, doc_id long, h long, pos int"), "keys", 500)
     found = found.unionByName(_joined(keys, texts, False)).where("size(starts) > 0")
     by_doc = found.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.max("copy").alias("copy"))
     return stored(by_doc, "by_doc")
@@ -216,32 +229,25 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
     """
     runs = repeated_runs(docs)
     few = runs.count() <= BROADCAST_ROWS
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("h").cast("string").alias("_h"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("copy").alias("_copy"))
+    runs = runs.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("copy").alias("_copy"))
     names = [c for c in docs.columns if c not in ("n_words", "n_cut", "is_copy")]
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
-    # ids are joined first; a document's text is hashed only where its id has runs
-    joined = rows.join(F.broadcast(runs) if few else runs, rows["doc_id"] == runs["_id"], "left").drop("_id")
+    same = (rows["doc_id"] == runs["_id"]) & (F.xxhash64(rows["text"]) == runs["_h"])
+    joined = rows.join(F.broadcast(runs) if few else runs, same, "left").drop("_id", "_h")
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_words", T.LongType()), T.StructField("n_cut", T.LongType()), T.StructField("is_copy", T.BooleanType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts, before, gone, copies = [], [], [], []
-            for text, h, starts, ends, copy in zip(pdf["text"], pdf["_h"], pdf["_starts"], pdf["_ends"], pdf["_copy"], strict=True):
-                n, hit = 0, starts is not None and text is not None and str(text_hash(text)) == h
-                if hit and not (copy and leave_copies):
-                    text, n = cut(text, starts, ends)
-                before.append(n + len(words_of(text)))
-                texts.append(text)
-                gone.append(n)
-                copies.append(bool(hit and copy))
-            out = pdf[names].assign(text=texts, n_words=before, n_cut=gone, is_copy=copies)
+            done = [(t, 0) if copy and leave_copies else cut(t, a, b) for t, a, b, copy in zip(pdf["text"], pdf["_starts"], pdf["_ends"], pdf["_copy"], strict=True)]
+            out = pdf[names].assign(text=[t for t, _ in done], n_cut=[n for _, n in done])
+            out["n_words"] = out["n_cut"] + [len(words_of(t)) for t in out["text"]]
+            out["is_copy"] = pdf["_copy"].astype(bool)
             if "n_chars" in names:
-                cut_ = out["n_cut"] > 0
-                out["n_chars"] = out["n_chars"].astype("Int64")
-                out.loc[cut_, "n_chars"] = out.loc[cut_, "text"].str.len()
-            yield out
+                out["n_chars"] = [c if n == 0 else len(t) for c, n, t in zip(out["n_chars"], out["n_cut"], out["text"], strict=True)]
+            yield out[schema.names]
 
-    return joined.mapInPandas(run, schema)
+    whole = joined.where("_starts is null").select(*(f"`{c}`" for c in names), n_words(F.col("text")).alias("n_words"), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
+    return whole.unionAll(joined.where("_starts is not null").mapInPandas(run, schema))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
