@@ -78,8 +78,8 @@ def targets(sources: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def plan(docs: DataFrame, keep: tuple[str, ...] = (), block: int = BLOCK, per_shard: int = PER_SHARD, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """One row a document: doc_id, size, source_size, target (its source's), taken (words, repeats counted), then ``keep``."""
-    extra = [F.col(c).alias(f"_k_{c}") for c in keep]
+    """One row a document: doc_id, size, source_size, target (its source's), taken (words, repeats counted), then ``keep`` as _k_<name>."""
+    extra = [F.col(f"`{c}`").alias(f"_k_{c}") for c in keep]
     sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *extra)
     if not keep:
         sizes = stored(sizes, "sizes")
@@ -113,20 +113,22 @@ def plan(docs: DataFrame, keep: tuple[str, ...] = (), block: int = BLOCK, per_sh
     rest = F.when(F.col("words") > 0, wanted % F.col("words")).otherwise(F.lit(0))
     passes = F.when(F.col("words") > 0, F.expr(f"least(blocks * {block}, {most} * words) div words")).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("_end") - F.col("size"))))
-    kept = [F.col(f"_k_{c}").alias(c) for c in keep]
+    kept = [F.col(f"`_k_{c}`") for c in keep]
     return rows.select("doc_id", "size", "source_size", "target", (passes * F.col("size") + part).cast("long").alias("taken"), *kept)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs as the mix has them: each whole copy is a row, and where a quota ends in a document its first words are one."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "n_chars"))
-    rows = plan(docs, keep=others, **options).where("taken > 0")
+    rows = plan(docs, keep=tuple(c for c in docs.columns if c != "doc_id"), **options).where("taken > 0")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.expr("cast(ceil(taken / size) as int)"))))
     words = F.least(F.col("size"), F.col("taken") - (F.col("_copy") - 1) * F.col("size"))
-    head = F.regexp_substr(F.col("text"), F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), words.cast("string"), F.lit("}+")))
-    rows = rows.withColumn("text", F.when(words == F.col("size"), F.col("text")).otherwise(head))
-    out = {c: F.col(c) for c in docs.columns} | ({"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else {})
-    return rows.select(*(e.alias(c) for c, e in out.items()))
+    head = F.regexp_substr(F.col("_k_text"), F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), words.cast("string"), F.lit("}+")))
+    whole = words == F.col("size")
+    rows = rows.withColumn("_text", F.when(whole, F.col("_k_text")).otherwise(head)).withColumn("_whole", whole)
+    out = {c: F.col(f"`_k_{c}`") for c in docs.columns if c != "doc_id"} | {"doc_id": F.col("doc_id"), "text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("_whole"), F.col("_k_n_chars")).otherwise(F.length("_text"))
+    return rows.select(*(out[c].alias(c) for c in docs.columns))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
