@@ -1 +1,118 @@
-"""functions of seqloom."""
+"""Scalar and array helpers on columns. All of them are built-in expressions, inside code generation where Spark has it."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def paste(sep: str, *cols: str | Column) -> Column:
+    """Joins columns as text; a null is written NA (``concat_ws`` would skip it)."""
+    return F.concat_ws(sep, *(F.coalesce(_col(c).cast("string"), F.lit("NA")) for c in cols))
+
+
+def sub_first(col: str | Column, pattern: str, replacement: str = "") -> Column:
+    """Replaces the first match only."""
+    return F.regexp_replace(_col(col), f"(?s)^(.*?)(?:{pattern})", f"$1{replacement}")
+
+
+def strip_ends(col: str | Column, first: int, last: int) -> Column:
+    """Without the first and the last items; empty when nothing is left."""
+    c = _col(col)
+    return F.when(F.length(c) > first + last, F.substring(c, F.lit(first + 1), F.length(c) - first - last)).otherwise("")
+
+
+def subseq_safe(col: str | Column, start: Column | int, end: Column | int) -> Column:
+    """Items start to end (from 1, both included), with the ends drawn in; empty when end < start."""
+    c = _col(col)
+    a = F.greatest(F.lit(1), _int(start))
+    b = F.least(F.length(c), _int(end))
+    return F.when(b >= a, F.substring(c, a, b - a + 1)).otherwise("")
+
+
+def sentence_case(col: str | Column) -> Column:
+    c = _col(col)
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1_000_000)))
+
+
+def basename(col: str | Column) -> Column:
+    return F.regexp_extract(_col(col), "([^/]*)$", 1)
+
+
+def dirname(col: str | Column) -> Column:
+    return F.regexp_extract(_col(col), "^(.*)/[^/]*$", 1)
+
+
+def extension(col: str | Column) -> Column:
+    return F.regexp_extract(_col(col), r"\.([A-Za-z0-9]+)$", 1)
+
+
+def half_even(col: str | Column, digits: int = 0) -> Column:
+    """Rounds as IEC 60559 does: a half goes to the even neighbour."""
+    return F.bround(_col(col), digits)
+
+
+def percent(part: Column, whole: Column, digits: int = 2) -> Column:
+    """100 * part / whole, null for an empty whole."""
+    return F.when(whole != 0, F.round(100.0 * part / whole, digits))
+
+
+def mismatches(items: Column, at: Column, pattern: str) -> Column:
+    """Substitutions between the pattern and the items (an array) from a position on."""
+    return reduce(lambda a, b: a + b, [(F.get(items, at + (i - 1)) != ch).cast("int") for i, ch in enumerate(pattern)])
+
+
+def approximate_positions(col: str | Column, pattern: str, most: int = 2, first: int = 1) -> Column:
+    """Starts (from 1) of all full-length matches with ``most`` substitutions at most, not before ``first``.
+
+    The text becomes an array once: a substring at each position would count characters from the begin each time.
+    """
+    c = _col(col)
+    n = F.length(c) - len(pattern) + 1
+
+    def find(items: Column) -> Column:
+        return F.filter(F.sequence(F.lit(1), F.size(items) - len(pattern) + 1), lambda p: (p >= first) & (mismatches(items, p, pattern) <= most))
+
+    one = F.transform(F.array(F.split(c, "")), find)  # the array is bound to a variable, so it is made once
+    return F.when(n < 1, F.array().cast("array<int>")).otherwise(F.element_at(one, 1))
+
+
+def position_bucket(col: str | Column, size: int) -> Column:
+    """Number (from 1) of the fixed-width tile that holds a position from 1."""
+    return F.ceil(_col(col) / F.lit(size)).cast("long")
+
+
+def has_bit(col: str | Column, bit: int) -> Column:
+    return _col(col).bitwiseAND(F.lit(bit)) != 0
+
+
+def finite(col: str | Column) -> Column:
+    c = _col(col).cast("double")
+    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
+
+
+def url_safe_digest(col: str | Column, n_bytes: int = 24) -> Column:
+    """The first bytes of the SHA-512 of a text, in URL-safe base64 without padding."""
+    digest = F.unhex(F.substring(F.sha2(_col(col), 512), 1, 2 * n_bytes))
+    return F.regexp_replace(F.translate(F.base64(digest), "+/", "-_"), "=+$", "")
+
+
+def codons(col: str | Column) -> Column:
+    """The complete triplets of a sequence, in order."""
+    return F.regexp_extract_all(_col(col), F.lit("(?s)..."), F.lit(0))
+
+
+def digit_total(n: Column) -> Column:
+    """Number of digits written when counting from 1 to n (closed form over the powers of ten)."""
+    powers = F.transform(F.sequence(F.lit(0), F.lit(17)), lambda k: F.pow(F.lit(10.0), k).cast("long"))
+    return F.aggregate(powers, F.lit(0).cast("long"), lambda acc, p: acc + F.greatest(F.lit(0).cast("long"), n.cast("long") - p + 1))
+
+
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _int(c: Column | int) -> Column:
+    return F.lit(c) if isinstance(c, int) else c

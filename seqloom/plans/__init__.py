@@ -1,4 +1,7 @@
 """Named queries over the reference tables, each with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from seqloom.plans import reads
+
+REGISTRIES = [reads.registry]
+QUERIES = {name: f for r in REGISTRIES for name, f in r.queries.items()}
+ORACLES = {name: sql for r in REGISTRIES for name, sql in r.oracles.items()}
