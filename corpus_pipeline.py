@@ -44,9 +44,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near copies of whole documents stay as they are: the next stage judges them.
     """
-    own, taken = _aside(docs, ("n_words", "n_cut", "is_copy"))
+    own, taken = _aside(docs, ("n_cut", "is_copy"))
     done = line_dedup.line_dedup(own)
-    return _columns_of(docs, done.where("n_cut = 0 or n_cut < n_words"), taken)
+    return _columns_of(docs, done.where((F.col("n_cut") == 0) | F.col("text").rlike(mixing.WORD)), taken)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

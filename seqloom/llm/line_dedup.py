@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WordHashes, documents, mixed, rolled, stored, words_of
-from .mixing import n_words
 from .near_dedup import _with
 
 GRAM, WINDOW, LEAST = 16, 35, 50
@@ -111,27 +110,31 @@ def _around(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> tuple[list, list]:
-    """(runs, short): extended matches of LEAST words or more as (start, end) in own; places whose match is shorter."""
+    """(runs, short): extended matches of LEAST words or more as (start, end) in own; places whose match is shorter.
+
+    Places that are the same distance apart share one comparison of the two texts along that diagonal.
+    """
     runs: list[tuple[int, int]] = []
     short: list[int] = []
-    for p, q in sorted(zip(places.tolist(), first_places.tolist(), strict=True)):
-        if any(a <= p and p + GRAM <= b for a, b in runs[-4:]):
-            continue
-        back = min(p, q)
-        length = min(len(own) - (p - back), len(first) - (q - back))
-        differ = np.flatnonzero(own[p - back : p - back + length] != first[q - back : q - back + length])
-        k = np.searchsorted(differ, back)
-        a = p - back + (int(differ[k - 1]) + 1 if k else 0)
-        b = p - back + (int(differ[k]) if k < len(differ) else length)
-        if b - a >= LEAST:
-            runs.append((a, b))
-        else:
-            short.append(p)
+    apart = places - first_places
+    for d in np.unique(apart).tolist():
+        here = np.sort(places[apart == d])
+        a = max(0, d)  # where the diagonal begins in own
+        length = min(len(own) - a, len(first) - (a - d))
+        if runs and all(any(x <= p and p + GRAM <= y for x, y in runs) for p in here.tolist()):
+            continue  # a text that repeats a few words has a diagonal for each of its places
+        differ = np.flatnonzero(own[a : a + length] != first[a - d : a - d + length])
+        edges = np.concatenate([[-1], differ, [length]])
+        at = np.searchsorted(differ, here - a)
+        starts, ends = edges[at] + 1 + a, edges[at + 1] + a
+        long_ = ends - starts >= LEAST
+        runs += sorted(set(zip(starts[long_].tolist(), ends[long_].tolist(), strict=True)))
+        short += here[~long_].tolist()
     return runs, short
 
 
 def _extended(batches: Iterable[pd.DataFrame], find_short: bool) -> Iterator[pd.DataFrame]:
-    """(doc_id, h, runs, copy, short keys) of each pair of a document with a first place's document."""
+    """(doc_id, h, runs, copy, short) of each pair of a document with a first place's document."""
     hashes = WordHashes()
     name, first, shingles = None, None, None
     for pdf in batches:
@@ -148,15 +151,14 @@ def _extended(batches: Iterable[pd.DataFrame], find_short: bool) -> Iterator[pd.
                 own_shingles = np.unique(rolled(own, 5))
                 both = len(np.intersect1d(own_shingles, shingles, assume_unique=True))
                 copy = both >= COPY * (len(own_shingles) + len(shingles) - both)
-            keys = np.zeros(0, np.int64)
             if find_short and short:
                 many = dict(zip(x.places.tolist(), x.many.tolist(), strict=True))
-                keys = run_hashes(own, GRAM).view(np.int64)[[p for p in short if many[p]]]
-            rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, keys))
+                short = [p for p in short if many[p]]
+            rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, short))
         yield pd.DataFrame(rows, columns=["doc_id", "h", "starts", "ends", "copy", "short"])
 
 
-_RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean, short array<long>"
+_RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean, short array<int>"
 
 
 def _joined(keys: DataFrame, texts: DataFrame, find_short: bool) -> DataFrame:
@@ -190,15 +192,26 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     whole = docs.where("doc_id is not null").select("doc_id", "text")
     texts = whole.select("doc_id", F.xxhash64("text").alias("h"), "text")
     prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", 2000)
-    found = _joined(prints, texts, True)
-    short = found.select(F.explode("short").alias("key")).distinct()
+    found = _by_document(_joined(prints, texts, True))
+    # places with a short match that no run of their document covers: look once more at all places of their fingerprints
+    bare = F.filter("short", lambda p: ~F.exists("runs", lambda r: (r["a"] <= p) & (p + GRAM <= r["b"])))
+    bare = found.select("doc_id", "h", F.explode(bare).alias("pos"))
+    short = prints.join(bare, ["doc_id", "h", "pos"], "left_semi").select("key").distinct()
     again = prints.join(short, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places"))
     again = stored(again, "places")
     around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
     keys = stored(around.mapInPandas(_around, "key long, doc_id long, h long, pos int"), "keys", 500)
-    found = found.unionByName(_joined(keys, texts, False)).where("size(starts) > 0")
-    by_doc = found.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.max("copy").alias("copy"))
-    return stored(by_doc, "by_doc")
+    more = _by_document(_joined(keys, texts, False))
+    both = found.unionByName(more).groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"), F.max("copy").alias("copy"))
+    both = both.where("size(runs) > 0")
+    return stored(both.select("doc_id", "h", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "copy"), "by_doc")
+
+
+def _by_document(pairs: DataFrame) -> DataFrame:
+    """(doc_id, h, runs, short, copy) of a document over all its pairs."""
+    runs = F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b"))
+    every = pairs.groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list(runs))).alias("runs"), F.array_distinct(F.flatten(F.collect_list("short"))).alias("short"), F.max("copy").alias("copy"))
+    return stored(every, "found")
 
 
 def cut(text: str, starts: Iterable[int], ends: Iterable[int]) -> tuple[str, int]:
@@ -223,37 +236,36 @@ def cut(text: str, starts: Iterable[int], ends: Iterable[int]) -> tuple[str, int
 
 
 def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
-    """docs without later repeated passages; adds n_words (before), n_cut and is_copy. n_chars follows the text.
+    """docs without later repeated passages; adds n_cut (words cut) and is_copy. n_chars follows the text.
 
     Columns of docs with these names are replaced. Documents whose words are all cut stay, with what is left.
     """
     runs = repeated_runs(docs)
     few = runs.count() <= BROADCAST_ROWS
     runs = runs.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("copy").alias("_copy"))
-    names = [c for c in docs.columns if c not in ("n_words", "n_cut", "is_copy")]
+    names = [c for c in docs.columns if c not in ("n_cut", "is_copy")]
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
     same = (rows["doc_id"] == runs["_id"]) & (F.xxhash64(rows["text"]) == runs["_h"])
     joined = rows.join(F.broadcast(runs) if few else runs, same, "left").drop("_id", "_h")
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_words", T.LongType()), T.StructField("n_cut", T.LongType()), T.StructField("is_copy", T.BooleanType())])
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_cut", T.LongType()), T.StructField("is_copy", T.BooleanType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             done = [(t, 0) if copy and leave_copies else cut(t, a, b) for t, a, b, copy in zip(pdf["text"], pdf["_starts"], pdf["_ends"], pdf["_copy"], strict=True)]
             out = pdf[names].assign(text=[t for t, _ in done], n_cut=[n for _, n in done])
-            out["n_words"] = out["n_cut"] + [len(words_of(t)) for t in out["text"]]
             out["is_copy"] = pdf["_copy"].astype(bool)
             if "n_chars" in names:
                 out["n_chars"] = [c if n == 0 else len(t) for c, n, t in zip(out["n_chars"], out["n_cut"], out["text"], strict=True)]
             yield out[schema.names]
 
-    whole = joined.where("_starts is null").select(*(f"`{c}`" for c in names), n_words(F.col("text")).alias("n_words"), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
+    whole = joined.where("_starts is null").select(*(f"`{c}`" for c in names), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
     return whole.unionAll(joined.where("_starts is not null").mapInPandas(run, schema))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_words, n_cut, is_copy, text_sha256 (of the text that is left; null: empty)."""
+    """doc_id, n_cut, is_copy, text_sha256 (of the text that is left; null: empty)."""
     out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"), leave_copies=False)
-    return out.select("doc_id", "n_words", "n_cut", "is_copy", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return out.select("doc_id", "n_cut", "is_copy", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 QUERIES = {"op5_line_dedup": op5_line_dedup}
