@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import VOCABULARY, documents
 
-LABELLED, POOL, SEED = 12_000, 4_000, 5
+LABELLED, POOL, SEED = 8_000, 3_000, 5
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 1_000
 REJECT = 0.5
 BITS = 18
@@ -115,19 +115,18 @@ def fit_text(rows: list[np.ndarray], y: np.ndarray, steps: int = 150) -> np.ndar
     hundreds of thousands of rare words, the rest would let the model learn its documents by heart.
     """
     flat = np.concatenate(rows)
-    lengths = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    used, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    n = np.bincount(flat, minlength=1 << BITS)
     prior = y.mean()
-    stray = (np.bincount(at, y[owner], len(used)) - n * prior) / np.sqrt(n * prior * (1 - prior) + 1e-9)
+    stray = (np.bincount(flat, y[owner], 1 << BITS) - n * prior) / np.sqrt(n * prior * (1 - prior) + 1e-9)
     common = (n >= FEWEST) & (abs(stray) >= STRAY)
     common[0] = True
-    number = np.cumsum(common) - 1
-    keep = common[at]
-    at, owner, size = number[at[keep]], owner[keep], int(common.sum())
+    number = np.cumsum(common, dtype=np.int32) - 1
+    keep = common[flat]
+    at, owner, size = number[flat[keep]], owner[keep], int(common.sum())
     w = _descend(lambda w: np.bincount(owner, w[at], len(rows)), lambda r: np.bincount(at, r[owner], size), size, y, 1e-4, steps)
     out = np.zeros(1 << BITS, np.float32)
-    out[used[common]] = w
+    out[common] = w
     return out
 
 
@@ -236,6 +235,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     if not len(pdf):
         return {q: None for q in QUESTIONS}
     text = [np.frombuffer(b, np.int32) for b in pdf["text"]]
+    seen = np.zeros(1 << BITS, np.int32)
+    for row in text:
+        seen[row] += 1
+    text = [row[seen[row] >= FEWEST] for row in text]  # rarer ones get no weight
+    pdf = pdf.drop(columns="text")
     meta = np.frombuffer(b"".join(pdf["meta"]), np.float32).reshape(len(pdf), N_META).astype(float)
     held = np.array([zlib.crc32(str(i).encode()) % HELD_OUT == 0 for i in pdf["doc_id"]])
     return {q: co_train(text, meta, pdf[q].fillna(-1).to_numpy().astype(int), held, rounds) for q in QUESTIONS}

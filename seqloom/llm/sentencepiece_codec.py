@@ -28,7 +28,7 @@ from .common import documents
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Marked words whose ids one worker remembers before it starts afresh.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
