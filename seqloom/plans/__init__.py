@@ -1,7 +1,7 @@
 """Named queries over the reference tables, each with the SQL that gives the same rows."""
 
-from seqloom.plans import metadata, reads
+from seqloom.plans import metadata, reads, records
 
-REGISTRIES = [reads.registry, metadata.registry]
+REGISTRIES = [reads.registry, metadata.registry, records.registry]
 QUERIES = {name: f for r in REGISTRIES for name, f in r.queries.items()}
 ORACLES = {name: sql for r in REGISTRIES for name, sql in r.oracles.items()}
