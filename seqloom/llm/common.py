@@ -9,15 +9,11 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Word hashes that one Python worker remembers before it starts afresh.
-VOCABULARY = 400_000
-
 
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only. ``lower`` has a fast way for plain ASCII, where it does the same."""
@@ -35,19 +31,6 @@ def lower_words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, with a bounded memory."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= VOCABULARY:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finalizer of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -55,6 +38,72 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.random.Generator(np.random.PCG64(3)).integers(1, 1 << 64, 256, dtype=np.uint64)
+_FOLDED = _BYTES.copy()
+_FOLDED[65:91] = _BYTES[97:123]
+#: Bytes of a text that are hashed at a time; longer texts are cut at white space.
+_AT_ONCE = 1 << 19
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n powers of the base and of its inverse (modulo 2**64); made once a worker, longer as needed."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            step = np.full(max(n, 1 << 15), base, np.uint64)
+            step[0] = 1
+            _POWERS[name] = np.cumprod(step)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def hashed_words(text: str | None, fold: bool = False) -> np.ndarray:
+    """64-bit hashes of a text's words (runs of anything but space and U+0009 to U+000D), in order; fold: A-Z as a-z.
+
+    No word becomes a Python object: the hashes are differences of one cumulated sum over the text's bytes.
+    """
+    data = (text or "").encode("utf-8", "surrogatepass")
+    parts, at = [], 0
+    while at < len(data):
+        end = at + _AT_ONCE
+        if end < len(data):  # up to the next white space, so no word is cut
+            later = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, min(len(data) - end, _AT_ONCE), end)])
+            while not len(later) and end + _AT_ONCE < len(data):
+                end += _AT_ONCE
+                later = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, min(len(data) - end, _AT_ONCE), end)])
+            end = end + int(later[0]) if len(later) else len(data)
+        parts.append(_hashed(data[at:end], fold))
+        at = end
+    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _hashed(data: bytes, fold: bool) -> np.ndarray:
+    b = np.frombuffer(data, np.uint8)
+    inside = ~_SPACE[b]
+    edge = np.empty(len(b) + 1, bool)
+    edge[0], edge[-1] = inside[0], inside[-1]
+    np.not_equal(inside[1:], inside[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    begin, end = at[::2], at[1::2]
+    up, down = powers(len(b))
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(np.take(_FOLDED if fold else _BYTES, b) * up, out=sums[1:])
+    return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """A dict that lives in the Python worker between tasks of one operator; other operators' dicts are emptied."""
+    for name, cache in _CACHES.items():
+        if name != owner:
+            cache.clear()
+    return _CACHES.setdefault(owner, {})
+
+
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive items; of the whole sequence where it has fewer than n; empty for none."""
     if not len(hashes):

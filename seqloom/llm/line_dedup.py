@@ -5,8 +5,8 @@ each word on, line ends ignored. Of each ``WINDOW`` neighbouring hashes the smal
 ``GRAM + WINDOW - 1`` = 50 words that two places share has a fingerprint in common. Each later place of a fingerprint is
 joined with the first one (smallest doc_id, then position) and the match is extended word by word both ways; runs of
 ``LEAST`` words or more are cut from the later place. Where a match with the first place is shorter, the places of that
-fingerprint are joined once more by the hashes of all ``LEAST``-word runs around it, so a first place that holds only a
-part of a passage doesn't hide the others.
+fingerprint are joined again, by longer runs that begin or end with it and, where that is not enough either, by all
+``LEAST``-word runs around those, so a first place that holds only a part of a passage doesn't hide the others.
 
 A document that is a near duplicate (5-word shingles, similarity ``COPY`` or more) of the document its runs come from is
 a copy: ``leave_copies`` leaves it whole, for near-dedup to judge. Words are compared as they are.
@@ -26,36 +26,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, documents, mixed, rolled, stored, words_of
+from .common import documents, hashed_words, mixed, powers, rolled, stored, worker_cache
 from .near_dedup import _with
 
 GRAM, WINDOW, LEAST = 16, 35, 50
+#: Words of the runs of the second look: of LEAST words around a GRAM, half of the rest stands on one side.
+MIDDLE = GRAM + (LEAST - GRAM) // 2
 COPY = 0.8
 #: Rows of (document, runs) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-_BASE = 0x9E3779B97F4A7C15
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-#: Powers of the base and of its inverse (modulo 2**64), made longer as needed.
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 15)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            step = np.full(size, base, np.uint64)
-            step[0] = 1
-            _POWERS[name] = np.cumprod(step)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
 def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n items from each item on, by differences of one cumulated sum (modulo 2**64)."""
     if len(hashes) < n:
         return hashes[:0]
-    up, down = _powers(len(hashes))
+    up, down = powers(len(hashes))
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * up, out=sums[1:])
     return mixed((sums[n:] - sums[:-n]) * down[: len(hashes) - n + 1])
@@ -82,11 +69,11 @@ def winnowed(grams: np.ndarray) -> np.ndarray:
 
 
 def _fingerprints(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
+    worker_cache("line_dedup")
     for pdf in batches:
         keys, at, n = [], [], []
         for text in pdf["text"]:
-            grams = run_hashes(hashes.of(words_of(text)), GRAM)
+            grams = run_hashes(hashed_words(text), GRAM)
             found = winnowed(grams) if len(grams) > LEAST - GRAM else np.zeros(0, np.int64)
             keys.append(grams[found].view(np.int64))
             at.append(found.astype(np.int32))
@@ -95,21 +82,26 @@ def _fingerprints(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": np.concatenate(keys), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), n), "h": np.repeat(pdf["h"].to_numpy(), n), "pos": np.concatenate(at)})
 
 
-def _around(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hashes of the LEAST-word runs that hold the fingerprints at ``places`` of a text."""
-    hashes = WordHashes()
+def _around(batches: Iterable[pd.DataFrame], gram: int, longer: int, all_: bool) -> Iterator[pd.DataFrame]:
+    """Hashes of runs of ``longer`` words that hold the gram-word runs at ``places`` of a text.
+
+    all_: of each such run; otherwise of the two that end and that begin with the place.
+    """
     for pdf in batches:
         for doc_id, h, text, places in zip(pdf["doc_id"], pdf["h"], pdf["text"], pdf["places"], strict=True):
-            runs = run_hashes(hashes.of(words_of(text)), LEAST)
+            runs = run_hashes(hashed_words(text), longer)
             near = np.zeros(len(runs), bool)
             for p in places:
-                near[max(0, p + GRAM - LEAST) : p + 1] = True
+                if all_:
+                    near[max(0, p + gram - longer) : p + 1] = True
+                else:
+                    near[[q for q in (p + gram - longer, p) if 0 <= q < len(runs)]] = True
             found = np.flatnonzero(near)
             if len(found):
                 yield pd.DataFrame({"key": runs[found].view(np.int64), "doc_id": doc_id, "h": h, "pos": found.astype(np.int32)})
 
 
-def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> tuple[list, list]:
+def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray, gram: int) -> tuple[list, list]:
     """(runs, short): extended matches of LEAST words or more as (start, end) in own; places whose match is shorter.
 
     Places that are the same distance apart share one comparison of the two texts along that diagonal.
@@ -121,7 +113,7 @@ def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_p
         here = np.sort(places[apart == d])
         a = max(0, d)  # where the diagonal begins in own
         length = min(len(own) - a, len(first) - (a - d))
-        if runs and all(any(x <= p and p + GRAM <= y for x, y in runs) for p in here.tolist()):
+        if runs and all(any(x <= p and p + gram <= y for x, y in runs) for p in here.tolist()):
             continue  # a text that repeats a few words has a diagonal for each of its places
         differ = np.flatnonzero(own[a : a + length] != first[a - d : a - d + length])
         edges = np.concatenate([[-1], differ, [length]])
@@ -133,25 +125,24 @@ def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_p
     return runs, short
 
 
-def _extended(batches: Iterable[pd.DataFrame], find_short: bool) -> Iterator[pd.DataFrame]:
+def _extended(batches: Iterable[pd.DataFrame], gram: int) -> Iterator[pd.DataFrame]:
     """(doc_id, h, runs, copy, short) of each pair of a document with a first place's document."""
-    hashes = WordHashes()
     name, first, shingles = None, None, None
     for pdf in batches:
         rows = []
         for x in pdf.itertuples(index=False):
-            own = hashes.of(words_of(x.text))
+            own = hashed_words(x.text)
             if name != (x.first_id, x.first_h):
-                name, first, shingles = (x.first_id, x.first_h), hashes.of(words_of(x.first_text)), None
+                name, first, shingles = (x.first_id, x.first_h), hashed_words(x.first_text), None
             same = (x.doc_id, x.h) == name
-            runs, short = matched_runs(own, first, np.asarray(x.places), np.asarray(x.first_places))
+            runs, short = matched_runs(own, first, np.asarray(x.places), np.asarray(x.first_places), gram)
             copy = False
             if not same and 10 * sum(b - a for a, b in runs) >= 3 * max(len(own), len(first)):
                 shingles = np.unique(rolled(first, 5)) if shingles is None else shingles
                 own_shingles = np.unique(rolled(own, 5))
                 both = len(np.intersect1d(own_shingles, shingles, assume_unique=True))
                 copy = both >= COPY * (len(own_shingles) + len(shingles) - both)
-            if find_short and short:
+            if gram < LEAST and short:
                 many = dict(zip(x.places.tolist(), x.many.tolist(), strict=True))
                 short = [p for p in short if many[p]]
             rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, short))
@@ -161,8 +152,8 @@ def _extended(batches: Iterable[pd.DataFrame], find_short: bool) -> Iterator[pd.
 _RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean, short array<int>"
 
 
-def _joined(keys: DataFrame, texts: DataFrame, find_short: bool) -> DataFrame:
-    """Extended matches of every later place with the first place of its key."""
+def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
+    """(extended matches of every later place with the first place of its key, all places of keys that stand twice)."""
     # the least id first: numbers alone aggregate by hash; then the least place of that id
     least = keys.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
     met = stored(keys.join(least, "key"), "met")
@@ -174,7 +165,7 @@ def _joined(keys: DataFrame, texts: DataFrame, find_short: bool) -> DataFrame:
     names = pairs.select("doc_id", "h").unionByName(pairs.select(F.col("first_id").alias("doc_id"), F.col("first_h").alias("h"))).distinct()
     held = _some(texts, names).dropDuplicates(["doc_id", "h"])
     both = pairs.join(held, ["doc_id", "h"]).join(held.select(F.col("doc_id").alias("first_id"), F.col("h").alias("first_h"), F.col("text").alias("first_text")), ["first_id", "first_h"])
-    return stored(both.mapInPandas(_with(_extended, find_short), _RUNS), "runs", 500)
+    return _by_document(stored(both.mapInPandas(_with(_extended, gram), _RUNS), "runs", 500)), met
 
 
 def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -192,21 +183,28 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     whole = docs.where("doc_id is not null").select("doc_id", "text")
     texts = whole.select("doc_id", F.xxhash64("text").alias("h"), "text")
     prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", 2000)
-    found = _by_document(_joined(prints, texts, True))
-    # places with a short match that no run of their document covers: look once more at all places of their fingerprints
-    bare = F.filter("short", lambda p: ~F.exists("runs", lambda r: (r["a"] <= p) & (p + GRAM <= r["b"])))
-    bare = found.select("doc_id", "h", F.explode(bare).alias("pos"))
-    short = prints.join(bare, ["doc_id", "h", "pos"], "left_semi").select("key").distinct()
-    again = prints.join(short, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places"))
-    again = stored(again, "places")
-    around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
-    keys = stored(around.mapInPandas(_around, "key long, doc_id long, h long, pos int"), "keys", 500)
-    more = _by_document(_joined(keys, texts, False))
-    both = found.unionByName(more).groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"), F.max("copy").alias("copy"))
+    found, met = _joined(prints, texts, GRAM)
+    every = [found]
+    for gram, longer, all_ in ((GRAM, MIDDLE, False), (MIDDLE, LEAST, True)):
+        # places with a short match that no run of their document covers: look again at all places of their keys
+        bare = F.filter("short", _uncovered(gram))
+        bare = found.select("doc_id", "h", F.explode(bare).alias("pos"))
+        keys = met.join(bare, ["doc_id", "h", "pos"], "left_semi").select("key").distinct()
+        again = stored(met.join(keys, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places")), "places")
+        around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
+        keys = stored(around.mapInPandas(_with(_around, gram, longer, all_), "key long, doc_id long, h long, pos int"), "keys", 500)
+        found, met = _joined(keys, texts, longer)
+        every.append(found)
+    both = every[0].unionByName(every[1]).unionByName(every[2])
+    both = both.groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"), F.max("copy").alias("copy"))
     both = both.where("size(runs) > 0")
     return stored(both.select("doc_id", "h", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "copy"), "by_doc")
 
 
+def _uncovered(gram: int):
+    return lambda p: ~F.exists("runs", lambda r: (r["a"] <= p) & (p + gram <= r["b"]))
+
+
 def _by_document(pairs: DataFrame) -> DataFrame:
     """(doc_id, h, runs, short, copy) of a document over all its pairs."""
     runs = F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, documents, lower_words_of, parts_for, rolled, stored
+from .common import documents, hashed_words, parts_for, rolled, stored, worker_cache
 from .graph import components
 
 WORDS = 5
@@ -44,9 +44,9 @@ _MULTIPLY = (_rng.integers(0, 1 << 32, TREES * LEVELS, dtype=np.uint32) | np.uin
 _ADD = _rng.integers(0, 1 << 32, TREES * LEVELS, dtype=np.uint32)[:, None]
 
 
-def shingle_set(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles; the whole sequence where it has fewer words."""
-    return np.unique(rolled(hashes.of(words), WORDS))
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text's words; the whole sequence where it has fewer words."""
+    return np.unique(rolled(words, WORDS))
 
 
 def signature(shingles: np.ndarray) -> bytes:
@@ -63,16 +63,16 @@ def signature(shingles: np.ndarray) -> bytes:
 
 
 def _sketched(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
+    worker_cache("near_dedup")
     for pdf in batches:
         rows = []
         for text in pdf["text"]:
-            words = lower_words_of(text)
-            if not words:
+            words = hashed_words(text, fold=True)
+            if not len(words):
                 rows.append((None, None, 0, None))
                 continue
-            shingles = shingle_set(words, hashes)
-            key = xxhash.xxh3_128_digest(b" ".join(words))
+            shingles = shingle_set(words)
+            key = xxhash.xxh3_128_digest(words.tobytes())
             rows.append((int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), len(shingles), signature(shingles)))
         out = pd.DataFrame(rows, columns=["k1", "k2", "n_shingles", "sig"])
         out.insert(0, "doc_id", pdf["doc_id"].array)
@@ -210,11 +210,10 @@ def _partners(batches: Iterable[pd.DataFrame], threshold: float, most: int, firs
 
 def _confirmed(batches: Iterable[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     """Links (a, b) of each region: 100 * intersection >= percent * union on the full sets; pairs joined already are skipped."""
-    hashes = WordHashes()
     out: list[tuple] = []
     for group in whole_groups(batches, "region"):
         group = group.drop_duplicates("rep")
-        sets = {r: shingle_set(lower_words_of(t), hashes) for r, t in zip(group["rep"], group["text"], strict=True)}
+        sets = {r: shingle_set(hashed_words(t, fold=True)) for r, t in zip(group["rep"], group["text"], strict=True)}
         root = {r: c for r, c in zip(group["rep"], group["comp"], strict=True)}
 
         def find(x: int, root=root) -> int:

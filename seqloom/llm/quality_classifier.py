@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import VOCABULARY, documents
+from .common import documents, worker_cache
 
 LABELLED, POOL, SEED = 8_000, 3_000, 5
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 1_000
 REJECT = 0.5
 BITS = 18
+#: Tokens that one Python worker remembers before it starts afresh.
+VOCABULARY = 300_000
 FEWEST, STRAY = 5, 4.0
 HELD_OUT = 4  # one labelled document in four calibrates
 QUESTIONS = ("low", "toxic")
@@ -214,6 +216,7 @@ def co_train(rows: list[np.ndarray], meta: np.ndarray, y: np.ndarray, held: np.n
 
 
 def _featured(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    worker_cache("quality_classifier")
     tokens = Tokens()
     for pdf in batches:
         text = [text_features(t, tokens).tobytes() for t in pdf["text"]]
@@ -253,6 +256,7 @@ def score(docs: DataFrame, models: dict[str, Model | None], reject: float = REJE
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("p_low", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_cache("quality_classifier")
         tokens, models = Tokens(), sent.value
         for pdf in batches:
             p = {q: np.zeros(len(pdf)) for q in QUESTIONS}

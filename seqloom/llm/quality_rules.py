@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, documents, rolled, stored, words_of
+from .common import documents, hashed_words, rolled, stored, worker_cache
 
 BITS, ORDER, CLASSES = 6, 3, 64
 MASK = (1 << BITS) - 1
@@ -174,18 +174,18 @@ def fit(docs: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {int(k): (g["key"].to_numpy(), g["n"].to_numpy()) for k, g in pdf.sort_values(["lang", "key"]).groupby("lang")}
 
 
-def base_statistics(text: str | None, hashes: WordHashes) -> tuple[int, int, int, int, int]:
+def base_statistics(text: str | None) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     if not text:
         return 0, 0, 0, 0, 0
     data = text.encode("utf-8", "surrogatepass")
-    words = data.split()
+    words = hashed_words(text)
     word_chars = len(text) - (len(data) - len(data.translate(None, WHITE)))
     n_symbols = len(data) - len(data.translate(None, b"#*$%&|<>"))
     lines = [line for line in data.split(b"\n") if line.strip(WHITE)]
     repeated = 0
     if len(words) >= 3:
-        _, at, n = np.unique(rolled(hashes.of(words), 3), return_inverse=True, return_counts=True)
+        _, at, n = np.unique(rolled(words, 3), return_inverse=True, return_counts=True)
         twice = n[at] > 1
         covered = np.zeros(len(words), bool)
         for k in range(3):
@@ -200,11 +200,11 @@ def score(docs: DataFrame, model: dict[int, tuple[np.ndarray, np.ndarray]]) -> D
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = {k: KneserNey(*arrays) for k, arrays in sent.value.items()}
-        hashes = WordHashes()
+        worker_cache("quality_rules")
         for pdf in batches:
             rows, logs = [], []
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                rows.append(base_statistics(text, hashes))
+                rows.append(base_statistics(text))
                 known = models.get(language_class(lang))
                 logs.append(known.mean_log_perplexity(text) if text and known else None)
             out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])

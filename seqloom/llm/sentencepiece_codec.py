@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents
+from .common import documents, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -164,16 +164,13 @@ class PieceCodec:
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
-_CODECS: dict[int, PieceCodec] = {}
-
-
 def _codec(model: bytes) -> PieceCodec:
     """One codec a worker process, with the words it has met."""
-    key = hash(model)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = PieceCodec(model)
-    return _CODECS[key]
+    codecs, key = worker_cache("sentencepiece"), hash(model)
+    if key not in codecs:
+        codecs.clear()
+        codecs[key] = PieceCodec(model)
+    return codecs[key]
 
 
 def _model(spark: SparkSession, path: str):

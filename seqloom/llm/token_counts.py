@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents
+from .common import documents, worker_cache
 
 VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: White space as in Unicode's property (the pattern's \s).
@@ -64,16 +64,13 @@ class TokenCounter:
         return [sum(map(get, pieces)) for pieces in block]
 
 
-_COUNTERS: dict[int, TokenCounter] = {}
-
-
 def _counter(vocabulary: bytes) -> TokenCounter:
     """One counter a worker process, with the pre-tokens it has met."""
-    key = hash(vocabulary)
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = TokenCounter(vocabulary)
-    return _COUNTERS[key]
+    counters, key = worker_cache("token_counts"), hash(vocabulary)
+    if key not in counters:
+        counters.clear()
+        counters[key] = TokenCounter(vocabulary)
+    return counters[key]
 
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY_FILE, text_col: str = "text", out_col: str = "n_tokens", keep: tuple[str, ...] | None = None) -> DataFrame:
