@@ -33,6 +33,8 @@ GRAM, WINDOW, LEAST = 16, 35, 50
 #: Words of the runs of the second look: of LEAST words around a GRAM, half of the rest stands on one side.
 MIDDLE = GRAM + (LEAST - GRAM) // 2
 COPY = 0.8
+#: End of a run over all words of a text; such a run counts where the text has LEAST words.
+ALL = 2**31 - 1
 #: Rows of (document, runs) that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,17 +90,22 @@ def _around(batches: Iterable[pd.DataFrame], gram: int, longer: int, all_: bool)
     all_: of each such run; otherwise of the two that end and that begin with the place.
     """
     for pdf in batches:
-        for doc_id, h, text, places in zip(pdf["doc_id"], pdf["h"], pdf["text"], pdf["places"], strict=True):
+        keys, at, n = [], [], []
+        for text, places in zip(pdf["text"], pdf["places"], strict=True):
             runs = run_hashes(hashed_words(text), longer)
             near = np.zeros(len(runs), bool)
-            for p in places:
-                if all_:
+            if all_:
+                for p in places:
                     near[max(0, p + gram - longer) : p + 1] = True
-                else:
-                    near[[q for q in (p + gram - longer, p) if 0 <= q < len(runs)]] = True
+            else:
+                both = np.concatenate([places, places + (gram - longer)])
+                near[both[(both >= 0) & (both < len(runs))]] = True
             found = np.flatnonzero(near)
-            if len(found):
-                yield pd.DataFrame({"key": runs[found].view(np.int64), "doc_id": doc_id, "h": h, "pos": found.astype(np.int32)})
+            keys.append(runs[found].view(np.int64))
+            at.append(found.astype(np.int32))
+            n.append(len(found))
+        if n:
+            yield pd.DataFrame({"key": np.concatenate(keys), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), n), "h": np.repeat(pdf["h"].to_numpy(), n), "pos": np.concatenate(at)})
 
 
 def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray, gram: int) -> tuple[list, list]:
@@ -182,7 +189,12 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """
     whole = docs.where("doc_id is not null").select("doc_id", "text")
     texts = whole.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    copies = _whole_copies(whole)
+    few = copies.count() <= BROADCAST_ROWS
+    names = copies.select("doc_id", "h")
+    texts = texts.join(F.broadcast(names), ["doc_id", "h"], "left_anti") if few else texts
     prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", 2000)
+    prints = prints if few else prints.join(names, ["doc_id", "h"], "left_anti")
     found, met = _joined(prints, texts, GRAM)
     every = [found]
     for gram, longer, all_ in ((GRAM, MIDDLE, False), (MIDDLE, LEAST, True)):
@@ -197,10 +209,19 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         every.append(found)
     both = every[0].unionByName(every[1]).unionByName(every[2])
     both = both.groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"), F.max("copy").alias("copy"))
-    both = both.where("size(runs) > 0")
+    both = both.where("size(runs) > 0").unionByName(copies)
     return stored(both.select("doc_id", "h", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "copy"), "by_doc")
 
 
+def _whole_copies(docs: DataFrame) -> DataFrame:
+    """Documents whose whole text stands earlier, found by 128-bit hashes: one run over all words (``ALL``), a copy."""
+    names = stored(docs.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), F.col("text")).alias("g")).where("text is not null"), "texts")
+    first = names.groupBy("h", "g").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    later = names.join(first, ["h", "g"]).where("doc_id > first_id").select("doc_id", "h").distinct()
+    runs = F.array(F.struct(F.lit(0).alias("a"), F.lit(ALL).alias("b")))
+    return stored(later.select("doc_id", "h", runs.alias("runs"), F.lit(True).alias("copy")), "copies")
+
+
 def _uncovered(gram: int):
     return lambda p: ~F.exists("runs", lambda r: (r["a"] <= p) & (p + gram <= r["b"]))
 
@@ -217,7 +238,8 @@ def cut(text: str, starts: Iterable[int], ends: Iterable[int]) -> tuple[str, int
     spans = [m.span() for m in _WORD.finditer(text)]
     gone = np.zeros(len(spans), bool)
     for a, b in zip(starts, ends, strict=True):
-        gone[a:b] = True
+        if b != ALL or len(spans) >= LEAST:
+            gone[a:b] = True
     edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]).astype(np.int8)))
     out, at = [], 0
     for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
@@ -240,24 +262,27 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
     """
     runs = repeated_runs(docs)
     few = runs.count() <= BROADCAST_ROWS
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("copy").alias("_copy"))
+    own = "_run"
+    while any(c.lower().startswith(own) for c in docs.columns):  # names that docs doesn't have
+        own = "_" + own
+    runs = runs.select(*(F.col(c).alias(f"{own}_{c}") for c in ("doc_id", "h", "starts", "ends", "copy")))
     names = [c for c in docs.columns if c not in ("n_cut", "is_copy")]
     rows = docs.select(*(F.col(f"`{c}`") for c in names))
-    same = (rows["doc_id"] == runs["_id"]) & (F.xxhash64(rows["text"]) == runs["_h"])
-    joined = rows.join(F.broadcast(runs) if few else runs, same, "left").drop("_id", "_h")
+    same = (rows["doc_id"] == runs[f"{own}_doc_id"]) & (F.xxhash64(rows["text"]) == runs[f"{own}_h"])
+    joined = rows.join(F.broadcast(runs) if few else runs, same, "left")
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("n_cut", T.LongType()), T.StructField("is_copy", T.BooleanType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            done = [(t, 0) if copy and leave_copies else cut(t, a, b) for t, a, b, copy in zip(pdf["text"], pdf["_starts"], pdf["_ends"], pdf["_copy"], strict=True)]
+            done = [(t, 0) if copy and leave_copies else cut(t, a, b) for t, a, b, copy in zip(pdf["text"], pdf[f"{own}_starts"], pdf[f"{own}_ends"], pdf[f"{own}_copy"], strict=True)]
             out = pdf[names].assign(text=[t for t, _ in done], n_cut=[n for _, n in done])
-            out["is_copy"] = pdf["_copy"].astype(bool)
+            out["is_copy"] = pdf[f"{own}_copy"].astype(bool)
             if "n_chars" in names:
                 out["n_chars"] = [c if n == 0 else len(t) for c, n, t in zip(out["n_chars"], out["n_cut"], out["text"], strict=True)]
             yield out[schema.names]
 
-    whole = joined.where("_starts is null").select(*(f"`{c}`" for c in names), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
-    return whole.unionAll(joined.where("_starts is not null").mapInPandas(run, schema))
+    whole = joined.where(F.col(f"{own}_starts").isNull()).select(*(f"`{c}`" for c in names), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
+    return whole.unionAll(joined.where(F.col(f"{own}_starts").isNotNull()).mapInPandas(run, schema))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
