@@ -17,6 +17,8 @@ from seqloom.llm.common import documents, stored
 SIMILARITY = 80  # percent
 #: Dropped ids that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Words that a Python worker of the last stage remembers: fewer than alone, since the stages before have filled the JVM.
+REMEMBERED = 200_000
 
 
 def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
@@ -63,7 +65,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_pieces and piece_ids of every copy."""
-    rows = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"))
+    rows = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), remember=REMEMBERED)
     return rows.select("doc_id", "lang", "source", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids")
 
 

@@ -56,7 +56,8 @@ def screen_words(words: list[str], k: int) -> list[str]:
     all_, found = shingles_of(words, k), []
     for word in sorted(set(words), key=lambda w: (-len(w), w)):
         found.append(word)
-        if sum(any(w in s.split() for w in found) for s in all_) > (1 - CONTAINED) * len(all_):
+        without = sum(not any(w in s.split() for w in found) for s in all_)
+        if without / len(all_) < CONTAINED:
             return found
     return found
 

@@ -27,8 +27,8 @@ from .common import documents, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Marked words whose ids one worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Marked words whose ids one worker remembers before it starts afresh (about 200 bytes each).
+REMEMBERED = 700_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -66,7 +66,8 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
 class PieceCodec:
     """Encoder and decoder of one model file (its bytes)."""
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, remember: int = REMEMBERED):
+        self.remember = remember
         self.pieces: list[str] = []
         self.kinds: list[int] = []
         scores, dummy, extra, escape, charsmap, kind = [], True, True, True, b"", 1
@@ -129,7 +130,7 @@ class PieceCodec:
 
     def _block(self, block: list[list[str]]) -> Iterator[np.ndarray]:
         new = set().union(*block).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED and self.known:
+        if len(self.known) + len(new) > self.remember and self.known:
             self.known.clear()
             new = set().union(*block)
         whole = {self._whole(word): word for word in new}
@@ -164,12 +165,12 @@ class PieceCodec:
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
-def _codec(model: bytes) -> PieceCodec:
+def _codec(model: bytes, remember: int) -> PieceCodec:
     """One codec a worker process, with the words it has met."""
-    codecs, key = worker_cache("sentencepiece"), hash(model)
+    codecs, key = worker_cache("sentencepiece"), (hash(model), remember)
     if key not in codecs:
         codecs.clear()
-        codecs[key] = PieceCodec(model)
+        codecs[key] = PieceCodec(model, remember)
     return codecs[key]
 
 
@@ -198,23 +199,23 @@ def decoded(batches: Batches, codec: PieceCodec, ids_col: str, text_col: str) ->
             yield part
 
 
-def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col: str = "piece_ids") -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col: str = "piece_ids", remember: int = REMEMBERED) -> DataFrame:
     """docs with a column of ids (array<int>). An existing column of that name is replaced."""
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(ids_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    return keep.mapInPandas(lambda batches: encoded(batches, _codec(sent.value), text_col, ids_col), schema)
+    return keep.mapInPandas(lambda batches: encoded(batches, _codec(sent.value, remember), text_col, ids_col), schema)
 
 
-def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded", remember: int = REMEMBERED) -> DataFrame:
     """docs with the text of their ids in text_col, which is replaced if it exists; null ids give null."""
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(text_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])
-    return keep.mapInPandas(lambda batches: decoded(batches, _codec(sent.value), ids_col, text_col), schema)
+    return keep.mapInPandas(lambda batches: decoded(batches, _codec(sent.value, remember), ids_col, text_col), schema)
 
 
-def digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def digest(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED) -> DataFrame:
     """doc_id, n_ids, ids_sha256 (of the ids as little-endian 32-bit integers), round_trip (the decoded text is the text).
 
     Encodes and decodes in one Python worker, so neither ids nor decoded texts travel.
@@ -222,7 +223,7 @@ def digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
     sent = _model(docs.sparkSession, model)
 
     def run(batches: Batches) -> Iterator[pd.DataFrame]:
-        codec = _codec(sent.value)
+        codec = _codec(sent.value, remember)
         for pdf in decoded(encoded(batches, codec, "text", "ids"), codec, "ids", "decoded"):
             out = pdf[["doc_id"]].assign(n_ids=[len(x) for x in pdf["ids"]])
             out["ids_sha256"] = [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in pdf["ids"]]
