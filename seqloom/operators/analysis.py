@@ -42,6 +42,24 @@ def length_bucket(n: Column) -> Column:
     return F.when(n > 0, F.concat(F.lit("L"), half_even(F.log10(n)).cast("int").cast("string"))).otherwise(F.raise_error(F.lit("width must be positive")))
 
 
-def region_id(blocks: Column, assembly: str, chromosome: Column, strand: Column) -> Column:
-    """Stable identifier of an interval list: assembly, place, bucket and a digest of the blocks alone."""
-    return F.concat_ws("_", F.lit(assembly), chromosome, strand, length_bucket(width(blocks)), url_safe_digest(block_text(blocks)))
+def region_id(blocks: Column, assembly: str, chromosome: Column, strand: Column, digest_length: int = 10) -> Column:
+    """Readable, stable identifier of an interval list: assembly, place, length bucket, strand and the begin of a digest of
+    the blocks alone."""
+    digest = F.substring(url_safe_digest(block_text(blocks)), 1, digest_length)
+    return F.concat_ws(":", F.lit("TRN"), F.lit(assembly), chromosome, length_bucket(width(blocks)), strand, digest)
+
+
+def machine_id(text: Column) -> Column:
+    """Identifier by the whole digest of a canonical text."""
+    return F.concat(F.lit("TRN:V1:sha512t24u:"), url_safe_digest(text))
+
+
+def log_normalised(counts: DataFrame, lib: str = "lib", value: str = "count", per: float = 1e6) -> DataFrame:
+    """counts (feature, lib, count) with ``value_log``: log2(1 + counts per million of the library)."""
+    total = F.sum(value).over(W.partitionBy(lib))
+    return counts.withColumn(f"{value}_log", F.when(total > 0, F.log2(1 + per * F.col(value) / total)))
+
+
+def filled_labels(*columns: str) -> dict[str, Column]:
+    """Label columns in lower case, empty and null ones as unknown."""
+    return {c: F.coalesce(F.nullif(F.lower(F.trim(c)), F.lit("")), F.lit("unknown")) for c in columns}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seqloom.functions import paste
+from seqloom.functions import paste, sub_first
 
 
 @dataclass(frozen=True)
@@ -65,11 +65,70 @@ def renumber_replicates(df: DataFrame, study: str, title: str, replicate: str, o
     return rows.withColumn("_needs", needs).withColumn(replicate, F.when(F.col("_needs"), number).otherwise(F.col(replicate))).drop("_dup", "_needs")
 
 
+#: Strains whose names are dropped; fixed values.
+STRAINS = ("K.12", "BY4741", "H37Rv", "PAO1", "Go1")
+
+
 def organism_cleanup(name: Column) -> Column:
-    """Without substrain, strain and subspecies suffixes, in that order; coronavirus names become one."""
-    virus = name.rlike("(?i)coronavirus")
-    steps = [" substr\\..*$", "(?i) strain .*$", " str\\..*$", " subsp\\..*$"]
-    return F.when(virus, "Coronavirus").otherwise(reduce(lambda c, p: F.regexp_replace(c, p, ""), steps, name))
+    """Without substrain, known strain, strain and subspecies suffixes, in that order; the second SARS virus has one name."""
+    virus = name.rlike("(?i)coronavirus 2|sars cov 2")
+    strain = sub_first(F.regexp_replace(name, " substr\\..*", ""), f"(?i: ({'|'.join(STRAINS)}))")
+    return F.when(virus, "Sars cov2").otherwise(F.regexp_replace(F.regexp_replace(strain, " str\\..*", ""), " subsp\\..*", ""))
+
+
+#: Spellings of inhibitors; fixed values.
+INHIBITORS = {"CHX": "chx", "LTM": "ltm", "Harringtonine": "harr"}
+#: Library types by long name; fixed values.
+LIBRARY_TYPES = {"Ribo-seq": "RFP", "RNA-seq": "RNA"}
+
+
+def recode(col: str, values: dict[str, str]) -> Column:
+    """A column with some values replaced; the others stay."""
+    table = F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
+    return F.coalesce(table[F.col(col)], F.col(col))
+
+
+def without_gaps(text: Column, times: int, none: bool = False) -> Column:
+    """Joined fields without empty and NA parts at either end; each pass takes what the one before laid bare."""
+    gap = "^_|_$|^NA_|_NA$|^NA$|^_$|^__$|^___$" + ("|NONE_|_NONE" if none else "")
+    return reduce(lambda c, _: F.regexp_replace(c, gap, ""), range(times), text)
+
+
+def experiment_fields(df: DataFrame) -> DataFrame:
+    """df with stage, condition and fraction from its annotation columns. The inhibitor joins the fraction where a study
+    (study_accession) has another one than cycloheximide."""
+    stage = without_gaps(paste("_", "CELL_LINE", "TISSUE"), 2, none=True)
+    condition = without_gaps(paste("_", *(c for c in ("CONDITION", "GENE") if c in df.columns)), 4)
+    plain = without_gaps(paste("_", "FRACTION", "TIMEPOINT", "BATCH"), 1)
+    inhibitor = F.coalesce("INHIBITOR", F.lit(""))
+    usual = F.bool_and(inhibitor.isin("chx", "CHX")).over(W.partitionBy("study_accession"))
+    fraction = without_gaps(F.when(usual, plain).otherwise(F.concat(plain, F.lit("_"), inhibitor)), 4)
+    return df.withColumns({"stage": stage, "condition": condition, "fraction": fraction})
+
+
+def keep_split(df: DataFrame, library_types: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows to keep, kept rows of other library types, which are left out)."""
+    kept = df.where(F.coalesce("KEEP", F.lit(False)))
+    return kept.where(F.col("LIBRARYTYPE").isin(*library_types)), kept.where(~F.coalesce(F.col("LIBRARYTYPE").isin(*library_types), F.lit(False)))
+
+
+def check_blacklist(ids: DataFrame, blacklist: DataFrame, id_col: str = "id") -> DataFrame:
+    """ids as they are; the query fails where one of them is on the list."""
+    bad = blacklist.select(F.col("id").alias(id_col), F.lit(True).alias("_bad")).distinct()
+    joined = ids.join(bad, id_col, "left")
+    return joined.where(F.when(F.col("_bad"), F.raise_error(F.concat(F.lit("on the blacklist: "), F.col(id_col)))).otherwise(F.lit(True))).drop("_bad")
+
+
+def collection_name(organism: Column, kind: str) -> Column:
+    """Name of an organism's merged track, collection or modalities."""
+    name = F.regexp_replace(organism, " ", "_")
+    return {"merged": F.concat(F.lit("all_merged-"), name), "modalities": F.concat(F.lit("all_merged-"), name, F.lit("_modalities")), "collection": F.concat(F.lit("all_samples-"), name)}[kind]
+
+
+def kingdoms(species: DataFrame, table: DataFrame, key: str = "species") -> DataFrame:
+    """species with the kingdom of its first entry in the table (species, kingdom, position); unknown where it has none."""
+    first = table.groupBy(key).agg(F.min_by("kingdom", "position").alias("kingdom"))
+    return species.join(first, key, "left").withColumn("kingdom", F.coalesce("kingdom", F.lit("unknown")))
 
 
 def common_species_name(name: Column, known: dict[str, str]) -> Column:

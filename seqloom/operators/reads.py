@@ -170,3 +170,9 @@ def approximate_first_udf(pattern: str, most: int):
         return approximate_first(batches, pattern, most)
 
     return run
+
+
+def with_overrides(found: DataFrame, manual: DataFrame, key: str, column: str) -> DataFrame:
+    """found with the manual table's value of a column where it has one."""
+    table = manual.select(key, F.col(column).alias("_manual")).dropDuplicates([key])
+    return found.join(table, key, "left").withColumn(column, F.coalesce("_manual", column)).drop("_manual")

@@ -82,3 +82,19 @@ def periodicity_verdict(frames: DataFrame, lib: str, least: float = 25.0, empty_
     none = F.count_if(bad) == 0
     warn = F.bool_or(bad & (F.col("percent_length") < least)) | (F.lit(False) if empty_is_good else none)
     return frames.groupBy(lib).agg(F.when(warn, "warning").otherwise("good").alias("verdict"), F.count_if(bad).alias("bad_lengths"))
+
+
+def template_shifts(libraries: DataFrame, lengths: range, offset: int = -12) -> DataFrame:
+    """The same offset for every read length of every library (lib)."""
+    return libraries.select("lib").distinct().select("lib", F.explode(F.array(*map(F.lit, lengths))).alias("fraction"), F.lit(offset).alias("offsets_start"))
+
+
+def edit_shifts(shifts: DataFrame, delta: int, libraries: Sequence[str] | None = None, lengths: Sequence[int] | None = None) -> DataFrame:
+    """Offsets moved by delta where library and length are among the given ones (None: all); an error for offsets above 0."""
+    hit = F.lit(True)
+    if libraries is not None:
+        hit &= F.col("lib").isin(*libraries)
+    if lengths is not None:
+        hit &= F.col("fraction").isin(*lengths)
+    moved = F.when(hit, F.col("offsets_start") + delta).otherwise(F.col("offsets_start"))
+    return shifts.withColumn("offsets_start", F.when(moved > 0, F.raise_error(F.lit("an offset would be above 0")).cast("int")).otherwise(moved))

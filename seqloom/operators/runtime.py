@@ -128,3 +128,30 @@ def split_valid(df: DataFrame, checks: dict[str, object]) -> tuple[DataFrame, Da
     failed = F.filter(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in checks.items())), lambda x: x.isNotNull())
     marked = df.withColumn("errors", failed)
     return marked.where(F.size("errors") == 0).drop("errors"), marked.where(F.size("errors") > 0)
+
+
+def set_flags(flags: DataFrame, units: DataFrame, steps: Sequence[str], known: Sequence[str]) -> DataFrame:
+    """flags with these steps of these units set; unknown steps are an error."""
+    if missing := set(steps) - set(known):
+        raise ValueError(f"no such steps: {sorted(missing)}")
+    new = units.select("unit").distinct().withColumn("step", F.explode(F.array(*map(F.lit, steps))))
+    return flags.select("unit", "step").unionByName(new).distinct()
+
+
+def still_progressing(updates: DataFrame, unit: str, ts: str, now, hours: float) -> DataFrame:
+    """Units with hours since their last update and whether that is below the limit. now: a timestamp column or literal."""
+    last = updates.groupBy(unit).agg(F.max(ts).alias("last_update"))
+    idle = F.timestamp_diff("SECOND", F.col("last_update"), now) / 3600
+    return last.select(unit, F.round(idle, 4).alias("hours"), (idle < hours).alias("progressing"))
+
+
+def sessions_active(sessions: DataFrame, running: DataFrame) -> DataFrame:
+    """sessions (pgid) with whether a running process group has that id."""
+    return sessions.join(running.select("pgid", F.lit(True).alias("active")).distinct(), "pgid", "left").withColumn("active", F.coalesce("active", F.lit(False)))
+
+
+def add_step(steps: Sequence[str], name: str, at: str = "tail") -> list[str]:
+    """Step names with a user's step at the head or the tail; one that is there already is an error."""
+    if name in steps:
+        raise ValueError(f"step {name} is there already")
+    return [name, *steps] if at == "head" else [*steps, name]

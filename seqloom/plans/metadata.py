@@ -99,14 +99,49 @@ def backup_append(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-WITH x AS (SELECT page_id, 'Genus species' || CASE page_id % 5 WHEN 0 THEN ' substr. K12 x' WHEN 1 THEN ' strain ATCC' WHEN 2 THEN ' str. 7' WHEN 3 THEN ' subsp. a' ELSE ' coronavirus 2' END AS name FROM pages)
-SELECT page_id, CASE WHEN regexp_matches(name, '(?i)coronavirus') THEN 'Coronavirus' ELSE regexp_replace(regexp_replace(regexp_replace(regexp_replace(name, ' substr\\..*$', ''), '(?i) strain .*$', ''), ' str\\..*$', ''), ' subsp\\..*$', '') END AS organism FROM x""")
+WITH x AS (SELECT page_id, 'Genus species' || CASE page_id % 5 WHEN 0 THEN ' substr. K12 x' WHEN 1 THEN ' k-12 by4741' WHEN 2 THEN ' str. 7' WHEN 3 THEN ' subsp. a' ELSE ' Coronavirus 2' END AS name FROM pages)
+SELECT page_id, CASE WHEN regexp_matches(name, '(?i)coronavirus 2|sars cov 2') THEN 'Sars cov2'
+  ELSE regexp_replace(regexp_replace(regexp_replace(regexp_replace(name, ' substr\\..*', ''), ' (K.12|BY4741|H37Rv|PAO1|Go1)', '', 'i'), ' str\\..*', ''), ' subsp\\..*', '') END AS organism FROM x""")
 def organism_name_cleanup(t: Tables) -> DataFrame:
     k = F.col("page_id") % 5
-    suffix = F.when(k == 0, " substr. K12 x").when(k == 1, " strain ATCC").when(k == 2, " str. 7").when(k == 3, " subsp. a").otherwise(" coronavirus 2")
+    suffix = F.when(k == 0, " substr. K12 x").when(k == 1, " k-12 by4741").when(k == 2, " str. 7").when(k == 3, " subsp. a").otherwise(" Coronavirus 2")
     return t.pages.select("page_id", m.organism_cleanup(F.concat(F.lit("Genus species"), suffix)).alias("organism"))
 
 
+_GAP = "'^_|_$|^NA_|_NA$|^NA$|^_$|^__$|^___$'"
+
+
+@registry.query(f"""
+WITH x AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS condition, split_part(o_orderpriority, '-', 2) AS fraction FROM orders),
+u AS (SELECT *, bool_and(coalesce(condition, '') IN ('chx', 'CHX')) OVER (PARTITION BY o_custkey) AS usual FROM x),
+y AS (SELECT o_orderkey, coalesce(condition, 'NA') || '_NA' AS c, regexp_replace('NA_' || fraction || '_NA', {_GAP}, '', 'g') || CASE WHEN usual THEN '' ELSE '_' || coalesce(condition, '') END AS f FROM u)
+SELECT o_orderkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(c, {_GAP}, '', 'g'), {_GAP}, '', 'g'), {_GAP}, '', 'g'), {_GAP}, '', 'g') AS condition,
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(f, {_GAP}, '', 'g'), {_GAP}, '', 'g'), {_GAP}, '', 'g'), {_GAP}, '', 'g') AS fraction, 'liver' AS stage FROM y""")
+def experiment_condition_fraction(t: Tables) -> DataFrame:
+    c = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
+    na = F.lit(None).cast("string")
+    df = t.orders.select("o_orderkey", F.col("o_custkey").alias("study_accession"), c.alias("CONDITION"), na.alias("GENE"), na.alias("FRACTION"), F.split("o_orderpriority", "-")[1].alias("TIMEPOINT"), na.alias("BATCH"), c.alias("INHIBITOR"), F.lit("NONE").alias("CELL_LINE"), F.lit("liver").alias("TISSUE"))
+    return m.experiment_fields(df).select("o_orderkey", F.col("condition"), "fraction", "stage")
+
+
+@registry.query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'done' ELSE o_orderstatus END AS status FROM orders")
+def recode_values(t: Tables) -> DataFrame:
+    return t.orders.select("o_orderkey", m.recode("o_orderstatus", {"O": "open", "F": "done"}).alias("status"))
+
+
+@registry.query("SELECT n_name, 'all_merged-' || replace(n_name, ' ', '_') AS merged, 'all_merged-' || replace(n_name, ' ', '_') || '_modalities' AS modalities, 'all_samples-' || replace(n_name, ' ', '_') AS collection FROM nation")
+def collection_names(t: Tables) -> DataFrame:
+    return t.nation.select("n_name", *(m.collection_name(F.col("n_name"), k).alias(k) for k in ("merged", "modalities", "collection")))
+
+
+@registry.query("""
+WITH k AS (SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS kingdom FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+SELECT c_custkey AS species, coalesce(kingdom, 'unknown') AS kingdom FROM customer LEFT JOIN k ON o_custkey = c_custkey""")
+def kingdom_lookup(t: Tables) -> DataFrame:
+    table = t.orders.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("species"), F.col("o_orderpriority").alias("kingdom"), F.col("o_orderkey").alias("position"))
+    return m.kingdoms(t.customer.select(F.col("c_custkey").alias("species")), table)
+
+
 @registry.query("""
 SELECT o_custkey, bool_or(o_orderstatus = 'P') AS has_open, string_agg(DISTINCT o_orderstatus, '-' ORDER BY o_orderstatus) AS conditions,
   regexp_replace(min(o_orderpriority), '^[0-9]-', '') AS stage FROM orders GROUP BY 1""")

@@ -40,6 +40,7 @@ def test_region_id_is_pinned(spark):
     df = spark.createDataFrame([([(101240000, 101240962), (101231230, 101231500)],)], "b array<struct<start:bigint,end:bigint>>")
     got = df.select(analysis.region_id(F.col("b"), "GRCh38", F.lit("chr22"), F.lit("+"))).first()[0]
     digest = base64.urlsafe_b64encode(hashlib.sha512(b"101231230-101231500;101240000-101240962").digest()[:24]).decode()
-    assert got == f"GRCh38_chr22_+_L3_{digest}"
+    assert got == f"TRN:GRCh38:chr22:L3:+:{digest[:10]}"
+    assert one(spark, m=analysis.machine_id(F.lit("101231230-101231500;101240000-101240962")))["m"] == f"TRN:V1:sha512t24u:{digest}"
     buckets = spark.createDataFrame([(31,), (32,), (1234,)], "n int").select(analysis.length_bucket(F.col("n")).alias("b")).collect()
     assert [r.b for r in buckets] == ["L1", "L2", "L3"]

@@ -179,3 +179,41 @@ def test_set_checks(spark):
 def test_drop_columns(spark):
     df = spark.createDataFrame([(1, None, 5), (2, None, 5)], "a int, b int, c int")
     assert common.drop_null_columns(df).columns == ["a", "c"] and common.drop_constant_columns(df.select("a", "c")).columns == ["a"]
+
+
+def test_shift_editor(spark):
+    t = records.template_shifts(spark.createDataFrame([("a",), ("b",)], "lib string"), range(28, 30))
+    assert rows(records.edit_shifts(t, -1, ["a"], [28])) == [("a", 28, -13), ("a", 29, -12), ("b", 28, -12), ("b", 29, -12)]
+    with pytest.raises(Exception, match="above 0"):
+        records.edit_shifts(t, 20).collect()
+
+
+def test_flags_sessions_and_steps(spark):
+    units = spark.createDataFrame([("u",)], "unit string")
+    flags = runtime.set_flags(spark.createDataFrame([("u", "x")], "unit string, step string"), units, ["x", "y"], ["x", "y"])
+    assert rows(flags) == [("u", "x"), ("u", "y")]
+    with pytest.raises(ValueError):
+        runtime.set_flags(flags, units, ["z"], ["x"])
+    assert runtime.add_step(["a"], "b") == ["a", "b"] and runtime.add_step(["a"], "b", "head") == ["b", "a"]
+    s = runtime.sessions_active(spark.createDataFrame([(1,), (2,)], "pgid int"), spark.createDataFrame([(2,), (2,)], "pgid int"))
+    assert rows(s) == [(1, False), (2, True)]
+    u = spark.sql("select 'u' unit, timestamp'2024-01-01 00:00:00' ts")
+    assert rows(runtime.still_progressing(u, "unit", "ts", F.lit("2024-01-01 02:30:00").cast("timestamp"), 2)) == [("u", 2.5, False)]
+
+
+def test_blacklist_and_keep(spark):
+    ids, bad = spark.createDataFrame([("a",), ("b",)], "id string"), spark.createDataFrame([("c",)], "id string")
+    assert metadata.check_blacklist(ids, bad).count() == 2
+    with pytest.raises(Exception, match="blacklist"):
+        metadata.check_blacklist(ids, ids).collect()
+    df = spark.createDataFrame([(True, "RFP"), (True, "RNA"), (None, "RFP"), (False, "RFP")], "KEEP boolean, LIBRARYTYPE string")
+    assert [x.count() for x in metadata.keep_split(df, ["RFP"])] == [1, 1]
+
+
+def test_overrides_and_labels(spark):
+    found = spark.createDataFrame([("r1", "AG"), ("r2", "CT")], "Run string, adapter string")
+    assert rows(reads.with_overrides(found, spark.createDataFrame([("r2", "GG")], "Run string, adapter string"), "Run", "adapter")) == [("r1", "AG"), ("r2", "GG")]
+    df = spark.createDataFrame([("Liver ",), ("",), (None,)], "tissue string").withColumns(analysis.filled_labels("tissue"))
+    assert rows(df) == [("liver",), ("unknown",), ("unknown",)]
+    logs = analysis.log_normalised(spark.createDataFrame([("f", "l", 1), ("g", "l", 1)], "feature string, lib string, count int"), per=2).first()
+    assert logs.count_log == 1.0
