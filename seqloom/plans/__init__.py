@@ -1,4 +1,4 @@
-"""Named queries over the reference tables, each with the SQL that gives the same rows."""
+"""Named queries over the tables of a data folder, each with the SQL that gives the same rows."""
 
 from seqloom.plans import metadata, reads, records, runtime
 

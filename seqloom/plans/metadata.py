@@ -161,10 +161,10 @@ def auto_fill_names(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-SELECT n_name AS study, list_sort(list(page_id)) AS files FROM nation JOIN pages ON page_id % 25 = n_nationkey AND contains(url, 'example') GROUP BY 1""")
+SELECT n_name AS study, string_agg(CAST(page_id AS VARCHAR), ',' ORDER BY page_id) AS files FROM nation JOIN pages ON page_id % 25 = n_nationkey AND contains(url, 'example') GROUP BY 1""")
 def study_file_match(t: Tables) -> DataFrame:
     pages = t.pages.where(F.contains("url", F.lit("example"))).withColumn("k", (F.col("page_id") % 25).cast("int"))
-    return pages.join(t.nation, F.col("k") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("study")).agg(F.array_sort(F.collect_list("page_id")).alias("files"))
+    return pages.join(t.nation, F.col("k") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("study")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("page_id")), lambda x: x.cast("string")), ",").alias("files"))
 
 
 @registry.query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

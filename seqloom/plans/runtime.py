@@ -151,10 +151,10 @@ def user_step_registry(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-SELECT event_id, list_filter([CASE WHEN value > 50 THEN NULL ELSE 'low' END, CASE WHEN event_type <> 'view' THEN NULL ELSE 'view' END], lambda x: x IS NOT NULL) AS errors FROM events WHERE NOT (value > 50 AND event_type <> 'view')""")
+SELECT event_id, concat_ws('+', CASE WHEN value > 50 THEN NULL ELSE 'low' END, CASE WHEN event_type <> 'view' THEN NULL ELSE 'view' END) AS errors FROM events WHERE NOT (value > 50 AND event_type <> 'view')""")
 def dead_letter_split(t: Tables) -> DataFrame:
     _, dead = runtime.split_valid(t.events, {"low": F.col("value") > 50, "view": F.col("event_type") != "view"})
-    return dead.select("event_id", "errors")
+    return dead.select("event_id", F.array_join("errors", "+").alias("errors"))
 
 
 @registry.query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
