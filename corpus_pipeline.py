@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.llm import line_dedup, mixing, near_dedup, quality_classifier, sentencepiece_codec
-from seqloom.llm.common import documents, stored
+from seqloom.llm.common import TEXTS, documents, small_batches, stored
 
 SIMILARITY = 80  # percent
 #: Dropped ids that are broadcast at most; more are joined by a shuffle.
@@ -36,6 +36,7 @@ def _columns_of(docs: DataFrame, rows: DataFrame, taken: dict[str, str]) -> Data
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     own, taken = _aside(docs, ("p_low", "p_toxic", "kept"))
     scored = quality_classifier.classify(own, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _columns_of(docs, scored.where("kept"), taken)
@@ -46,6 +47,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near copies of whole documents stay as they are: the next stage judges them.
     """
+    small_batches(spark)
     own, taken = _aside(docs, ("n_cut", "is_copy"))
     done = line_dedup.line_dedup(own)
     return _columns_of(docs, done.where((F.col("n_cut") == 0) | F.col("text").rlike(mixing.WORD)), taken)
@@ -65,6 +67,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_pieces and piece_ids of every copy."""
+    small_batches(spark)
     rows = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), remember=REMEMBERED)
     return rows.select("doc_id", "lang", "source", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids")
 
@@ -84,5 +87,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower(), TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import math
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,10 +99,14 @@ _CACHES: dict[str, dict] = {}
 
 
 def worker_cache(owner: str) -> dict:
-    """A dict that lives in the Python worker between tasks of one operator; other operators' dicts are emptied."""
-    for name, cache in _CACHES.items():
-        if name != owner:
-            cache.clear()
+    """A dict that lives in the Python worker between tasks of one operator.
+
+    When a worker turns to another operator the others' dicts are emptied and unused memory goes back to the system.
+    """
+    if owner not in _CACHES:
+        _CACHES.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     return _CACHES.setdefault(owner, {})
 
 
@@ -131,20 +137,31 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of a Python worker's batch where they hold texts, and where they hold numbers alone.
+TEXTS, NUMBERS = 1_000, 10_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Python workers get TEXTS rows in a batch: for results that are made lazily.
+
+    The usual 10,000 rows of long texts take hundreds of MB in a worker.
+    """
+    spark.conf.set(_BATCH, str(TEXTS))
+
+
 @contextlib.contextmanager
-def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
-    """While it holds, Python workers get at most this many rows in a batch (long texts make large batches)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if rows:
-        spark.conf.set(name, str(rows))
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it holds, Python workers get at most this many rows in a batch."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
 
 
-def stored(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, batch: int = NUMBERS) -> DataFrame:
     """df, written once to the shared folder and read back: a cut of the lineage that survives lost executors.
 
     batch: rows of a Python worker's batch while df is made.

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, hashed_words, mixed, powers, rolled, stored, worker_cache
+from .common import TEXTS, documents, hashed_words, mixed, powers, rolled, small_batches, stored, worker_cache
 from .near_dedup import _with
 
 GRAM, WINDOW, LEAST = 16, 35, 50
@@ -172,7 +172,7 @@ def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, Da
     names = pairs.select("doc_id", "h").unionByName(pairs.select(F.col("first_id").alias("doc_id"), F.col("first_h").alias("h"))).distinct()
     held = _some(texts, names).dropDuplicates(["doc_id", "h"])
     both = pairs.join(held, ["doc_id", "h"]).join(held.select(F.col("doc_id").alias("first_id"), F.col("h").alias("first_h"), F.col("text").alias("first_text")), ["first_id", "first_h"])
-    return _by_document(stored(both.mapInPandas(_with(_extended, gram), _RUNS), "runs", 500)), met
+    return _by_document(stored(both.mapInPandas(_with(_extended, gram), _RUNS), "runs", TEXTS // 2)), met
 
 
 def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     few = copies.count() <= BROADCAST_ROWS
     names = copies.select("doc_id", "h")
     texts = texts.join(F.broadcast(names), ["doc_id", "h"], "left_anti") if few else texts
-    prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", 2000)
+    prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", TEXTS)
     prints = prints if few else prints.join(names, ["doc_id", "h"], "left_anti")
     found, met = _joined(prints, texts, GRAM)
     every = [found]
@@ -204,7 +204,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         keys = met.join(bare, ["doc_id", "h", "pos"], "left_semi").select("key").distinct()
         again = stored(met.join(keys, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places")), "places")
         around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
-        keys = stored(around.mapInPandas(_with(_around, gram, longer, all_), "key long, doc_id long, h long, pos int"), "keys", 500)
+        keys = stored(around.mapInPandas(_with(_around, gram, longer, all_), "key long, doc_id long, h long, pos int"), "keys", TEXTS)
         found, met = _joined(keys, texts, longer)
         every.append(found)
     both = every[0].unionByName(every[1]).unionByName(every[2])
@@ -287,6 +287,7 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_cut, is_copy, text_sha256 (of the text that is left; null: empty)."""
+    small_batches(spark)
     out = line_dedup(documents(spark, sf_dir).select("doc_id", "text"), leave_copies=False)
     return out.select("doc_id", "n_cut", "is_copy", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 

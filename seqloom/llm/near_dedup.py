@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hashed_words, parts_for, rolled, stored, worker_cache
+from .common import TEXTS, documents, hashed_words, parts_for, rolled, stored, worker_cache
 from .graph import components
 
 WORDS = 5
@@ -261,7 +261,7 @@ def _round(docs: DataFrame, reps: DataFrame, comps: DataFrame | None, trees: ran
     pairs = stored(by_region(sketched).mapInPandas(_with(_partners, threshold, 0 if exact else FIRST_PARTNERS, trees.start), "region long, rep long, partners array<long>"), "partners")
     texts = _texts_of(docs, pairs.select("rep").distinct()).dropDuplicates(["rep"])
     full = pairs.join(texts, "rep").join(own.select("rep", "comp"), "rep")
-    return stored(by_region(full).mapInPandas(_with(_confirmed, percent), "a long, b long").distinct(), "links")
+    return stored(by_region(full).mapInPandas(_with(_confirmed, percent), "a long, b long").distinct(), "links", TEXTS)
 
 
 class _with:
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Documents are linked when 100 * intersection >= percent * union; the component is the smallest doc_id reachable.
     """
-    sketched = stored(sketches(docs), "sketches")
+    sketched = stored(sketches(docs), "sketches", TEXTS)
     groups = stored(sketched.where("k1 is not null and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "texts")
     firsts = sketched.where("k1 is not null").withColumnRenamed("doc_id", "rep").join(groups, ["k1", "k2", "rep"], "left_semi")
     reps = stored(firsts.dropDuplicates(["rep"]).select("rep", "n_shingles", "sig"), "reps")

@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, worker_cache
+from .common import documents, small_batches, worker_cache
 
 LABELLED, POOL, SEED = 8_000, 3_000, 5
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 1_000
 REJECT = 0.5
 BITS = 18
 #: Tokens that one Python worker remembers before it starts afresh.
-VOCABULARY = 300_000
+VOCABULARY = 150_000
 FEWEST, STRAY = 5, 4.0
 HELD_OUT = 4  # one labelled document in four calibrates
 QUESTIONS = ("low", "toxic")
@@ -279,6 +279,7 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     scored = classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored.select("doc_id", F.round("p_low", 6).alias("p_low"), F.round("p_toxic", 6).alias("p_toxic"), "kept")
 

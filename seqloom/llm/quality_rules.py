@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hashed_words, rolled, stored, worker_cache
+from .common import TEXTS, documents, hashed_words, rolled, stored, worker_cache
 
 BITS, ORDER, CLASSES = 6, 3, 64
 MASK = (1 << BITS) - 1
@@ -170,7 +170,7 @@ class KneserNey:
 
 def fit(docs: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """language class -> sorted 3-gram keys and counts of all documents; bounded by the key space (see above)."""
-    pdf = stored(count_grams(docs), "grams").toPandas()
+    pdf = stored(count_grams(docs), "grams", TEXTS).toPandas()
     return {int(k): (g["key"].to_numpy(), g["n"].to_numpy()) for k, g in pdf.sort_values(["lang", "key"]).groupby("lang")}
 
 
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: dict[int, tuple[np.ndarray, np.ndarray]]) -> D
 def rules(docs: DataFrame, reach: float = REACH, least: float = LEAST) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    scored = stored(score(docs, fit(docs)).withColumn("base_failed", failed), "scored")
+    scored = stored(score(docs, fit(docs)).withColumn("base_failed", failed), "scored", TEXTS)
     quartiles = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 1000).alias("q")
     bands = scored.where("not base_failed and log_perplexity is not null").groupBy(F.col("lang").alias("_lang")).agg(quartiles)
     low, middle, high = (F.col("q")[k] for k in range(3))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents, worker_cache
+from .common import documents, small_batches, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -233,6 +233,7 @@ def digest(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED) -> D
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return digest(documents(spark, sf_dir))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents, worker_cache
+from .common import documents, small_batches, worker_cache
 
 VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: White space as in Unicode's property (the pattern's \s).
@@ -94,6 +94,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY_FILE, text_col: s
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens of every document."""
+    small_batches(spark)
     return token_counts(documents(spark, sf_dir).select(F.col("doc_id"), F.col("text")), keep=("doc_id",))
 
 
