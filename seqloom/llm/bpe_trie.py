@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 #: Checked pairs that one worker remembers before it starts afresh.
-PAIRS = 200_000
+PAIRS = 300_000
 
 
 class TrieBpe:
