@@ -162,9 +162,10 @@ _RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean,
 def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
     """(extended matches of every later place with the first place of its key, all places of keys that stand twice)."""
     # the least id first: numbers alone aggregate by hash; then the least place of that id
-    least = keys.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    # both tables are stored before they are joined: adaptive execution splits a very common key only between plain shuffles
+    least = stored(keys.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "least")
     met = stored(keys.join(least, "key"), "met")
-    first = met.where("doc_id = first_id").groupBy("key").agg(F.min(F.struct("h", "pos")).alias("f"))
+    first = stored(met.where("doc_id = first_id").groupBy("key").agg(F.min(F.struct("h", "pos")).alias("f")), "first")
     later = met.join(first, "key").where("doc_id <> first_id or h <> f.h or pos <> f.pos")
     place = F.array_sort(F.collect_set(F.struct("pos", F.col("f.pos").alias("first_pos"), (F.col("n") > 2).alias("many"))))
     pairs = later.groupBy("doc_id", "h", "first_id", F.col("f.h").alias("first_h")).agg(place.alias("p"))
