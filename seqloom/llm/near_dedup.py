@@ -101,8 +101,8 @@ def region_ids(tree: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, depth
 
 
-def _regions(batches: Iterable[pd.DataFrame], exact: bool) -> Iterator[pd.DataFrame]:
-    """(region, tree, rep) of the texts that have a neighbour of another component and of a fitting size."""
+def _regions(batches: Iterable[pd.DataFrame], exact: bool, threshold: float = 0.8) -> Iterator[pd.DataFrame]:
+    """(region, tree, rep) of the texts that have a neighbour of another component and of a fitting size: sets whose sizes differ by more than ``threshold`` can't be links."""
     parts = [pdf for pdf in batches if len(pdf)]
     if not parts:
         return
@@ -120,7 +120,7 @@ def _regions(batches: Iterable[pd.DataFrame], exact: bool) -> Iterator[pd.DataFr
         if (own == own[0]).all():
             continue
         sizes = np.sort(n[a:b])
-        fitting = np.searchsorted(sizes, np.ceil(n[a:b] / 0.85), "right") - np.searchsorted(sizes, np.floor(n[a:b] * 0.85), "left") > 1
+        fitting = np.searchsorted(sizes, np.ceil(n[a:b] / threshold), "right") - np.searchsorted(sizes, np.floor(n[a:b] * threshold), "left") > 1
         rows = np.flatnonzero(fitting) + a
         if len(rows) < 2:
             continue
@@ -254,10 +254,10 @@ def _round(docs: DataFrame, reps: DataFrame, comps: DataFrame | None, trees: ran
     rows = own.select("rep", "n_shingles", "comp", "sig", tree.alias("tree"))
     rows = rows.select("tree", F.expr(f"substring(sig, tree * {LEVELS} + 1, {LEVELS})").alias("band"), "rep", "comp", F.col("n_shingles"))
     dealt = rows.repartitionByRange(parts_for(n * len(trees), 1_000_000, spark), "tree", "band", "rep").sortWithinPartitions("tree", "band", "rep")
-    regions = stored(dealt.mapInPandas(_with(_regions, exact), "region long, tree int, rep long"), "regions")
+    threshold = percent / 100
+    regions = stored(dealt.mapInPandas(_with(_regions, exact, threshold), "region long, tree int, rep long"), "regions")
     by_region = lambda df: df.repartition("region").sortWithinPartitions("region", "rep")
     sketched = regions.join(own, "rep")
-    threshold = percent / 100
     pairs = stored(by_region(sketched).mapInPandas(_with(_partners, threshold, 0 if exact else FIRST_PARTNERS, trees.start), "region long, rep long, partners array<long>"), "partners")
     texts = _texts_of(docs, pairs.select("rep").distinct()).dropDuplicates(["rep"])
     full = pairs.join(texts, "rep").join(own.select("rep", "comp"), "rep")

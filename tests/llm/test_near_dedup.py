@@ -64,6 +64,14 @@ def test_one_large_family(docs_of, passages, percent):
     check(docs_of, family(passages, rng, 7, 300, 150, 5), percent)
 
 
+def test_sizes_that_just_fit(docs_of, passages):
+    """Texts of 100 shingles and their prefixes of 82, alone in their regions, are linked at 80 percent."""
+    whole = [passages(300 + k, 104) for k in range(12)]
+    texts = [t for w in whole for t in (w, " ".join(w.split()[:86]))]
+    want = check(docs_of, texts, 80)
+    assert [c for _, c in want.values()] == [i - i % 2 for i in range(24)]
+
+
 def test_large_regions_are_compared_in_blocks(passages):
     """Texts of equal bands beyond a region's size meet in some block pair when a component differs."""
     import numpy as np
