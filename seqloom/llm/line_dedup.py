@@ -9,7 +9,9 @@ fingerprint are joined again, by longer runs that begin or end with it and, wher
 ``LEAST``-word runs around those, so a first place that holds only a part of a passage doesn't hide the others.
 
 A document that is a near duplicate (5-word shingles, similarity ``COPY`` or more) of the document its runs come from is
-a copy: ``leave_copies`` leaves it whole, for near-dedup to judge. Words are compared as they are.
+a copy. ``leave_copies`` leaves what it shares with that document (the first such one) as it is there, for near-dedup to
+judge: words that match it are cut where they are cut there, other words where they stand in a run of any document. Where
+what is left of the two isn't alike any more, all runs of the copy are cut. Words are compared as they are.
 
 Nulls: a null text has no words; rows without a doc_id pass unchanged and are no first places. Rows with the same doc_id
 and text are one document. A passage that repeats within a document is cut at its later places too.
@@ -109,31 +111,31 @@ def _around(batches: Iterable[pd.DataFrame], gram: int, longer: int, all_: bool)
 
 
 def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_places: np.ndarray, gram: int) -> tuple[list, list]:
-    """(runs, short): extended matches of LEAST words or more as (start, end) in own; places whose match is shorter.
+    """(runs, short): extended matches of LEAST words or more as (start, end, apart) in own, apart from first's; places whose match is shorter.
 
     Places that are the same distance apart share one comparison of the two texts along that diagonal.
     """
-    runs: list[tuple[int, int]] = []
+    runs: list[tuple[int, int, int]] = []
     short: list[int] = []
     apart = places - first_places
     for d in np.unique(apart).tolist():
         here = np.sort(places[apart == d])
         a = max(0, d)  # where the diagonal begins in own
         length = min(len(own) - a, len(first) - (a - d))
-        if runs and all(any(x <= p and p + gram <= y for x, y in runs) for p in here.tolist()):
+        if runs and all(any(x <= p and p + gram <= y for x, y, _ in runs) for p in here.tolist()):
             continue  # a text that repeats a few words has a diagonal for each of its places
         differ = np.flatnonzero(own[a : a + length] != first[a - d : a - d + length])
         edges = np.concatenate([[-1], differ, [length]])
         at = np.searchsorted(differ, here - a)
         starts, ends = edges[at] + 1 + a, edges[at + 1] + a
         long_ = ends - starts >= LEAST
-        runs += sorted(set(zip(starts[long_].tolist(), ends[long_].tolist(), strict=True)))
+        runs += [(a, b, d) for a, b in sorted(set(zip(starts[long_].tolist(), ends[long_].tolist(), strict=True)))]
         short += here[~long_].tolist()
     return runs, short
 
 
 def _extended(batches: Iterable[pd.DataFrame], gram: int) -> Iterator[pd.DataFrame]:
-    """(doc_id, h, runs, copy, short) of each pair of a document with a first place's document."""
+    """(doc_id, h, first_id, first_h, runs, copy, short) of each pair of a document with a first place's document."""
     name, first, shingles = None, None, None
     for pdf in batches:
         rows = []
@@ -144,7 +146,7 @@ def _extended(batches: Iterable[pd.DataFrame], gram: int) -> Iterator[pd.DataFra
             same = (x.doc_id, x.h) == name
             runs, short = matched_runs(own, first, np.asarray(x.places), np.asarray(x.first_places), gram)
             copy = False
-            if not same and 10 * sum(b - a for a, b in runs) >= 3 * max(len(own), len(first)):
+            if not same and 10 * sum(b - a for a, b, _ in runs) >= 3 * max(len(own), len(first)):
                 shingles = np.unique(rolled(first, 5)) if shingles is None else shingles
                 own_shingles = np.unique(rolled(own, 5))
                 both = len(np.intersect1d(own_shingles, shingles, assume_unique=True))
@@ -152,15 +154,15 @@ def _extended(batches: Iterable[pd.DataFrame], gram: int) -> Iterator[pd.DataFra
             if gram < LEAST and short:
                 many = dict(zip(x.places.tolist(), x.many.tolist(), strict=True))
                 short = [p for p in short if many[p]]
-            rows.append((x.doc_id, x.h, [a for a, _ in runs], [b for _, b in runs], copy, short))
-        yield pd.DataFrame(rows, columns=["doc_id", "h", "starts", "ends", "copy", "short"])
+            rows.append((x.doc_id, x.h, *name, [a for a, _, _ in runs], [b for _, b, _ in runs], [d for _, _, d in runs], copy, short))
+        yield pd.DataFrame(rows, columns=["doc_id", "h", "first_id", "first_h", "starts", "ends", "apart", "copy", "short"])
 
 
-_RUNS = "doc_id long, h long, starts array<int>, ends array<int>, copy boolean, short array<int>"
+_RUNS = "doc_id long, h long, first_id long, first_h long, starts array<int>, ends array<int>, apart array<int>, copy boolean, short array<int>"
 
 
-def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, DataFrame]:
-    """(extended matches of every later place with the first place of its key, all places of keys that stand twice)."""
+def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(extended matches of every later place with the first place of its key by document, all places of keys that stand twice, the matches by pair)."""
     # the least id first: numbers alone aggregate by hash; then the least place of that id
     # both tables are stored before they are joined: adaptive execution splits a very common key only between plain shuffles
     least = stored(keys.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "least")
@@ -173,7 +175,8 @@ def _joined(keys: DataFrame, texts: DataFrame, gram: int) -> tuple[DataFrame, Da
     names = pairs.select("doc_id", "h").unionByName(pairs.select(F.col("first_id").alias("doc_id"), F.col("first_h").alias("h"))).distinct()
     held = _some(texts, names).dropDuplicates(["doc_id", "h"])
     both = pairs.join(held, ["doc_id", "h"]).join(held.select(F.col("doc_id").alias("first_id"), F.col("h").alias("first_h"), F.col("text").alias("first_text")), ["first_id", "first_h"])
-    return _by_document(stored(both.mapInPandas(_with(_extended, gram), _RUNS), "runs", TEXTS // 2)), met
+    found = stored(both.mapInPandas(_with(_extended, gram), _RUNS), "runs", TEXTS // 2)
+    return _by_document(found), met, found
 
 
 def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
@@ -183,9 +186,10 @@ def _some(texts: DataFrame, names: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(names) if few else names, ["doc_id", "h"], "left_semi")
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, leave_copies: bool = False) -> DataFrame:
     """(doc_id, h, starts, ends, copy): word ranges of each document that stand earlier in the corpus, by document.
 
+    leave_copies: of copies only the ranges to cut, perhaps none (see above).
     h is the text's xxhash64, which with the doc_id names a document. Ranges may overlap. copy: the document is a near duplicate of one that its ranges come from.
     """
     whole = docs.where("doc_id is not null").select("doc_id", "text")
@@ -196,7 +200,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     texts = texts.join(F.broadcast(names), ["doc_id", "h"], "left_anti") if few else texts
     prints = stored(texts.mapInPandas(_fingerprints, "key long, doc_id long, h long, pos int"), "prints", TEXTS)
     prints = prints if few else prints.join(names, ["doc_id", "h"], "left_anti")
-    found, met = _joined(prints, texts, GRAM)
+    found, met, pairs = _joined(prints, texts, GRAM)
     every = [found]
     for gram, longer, all_ in ((GRAM, MIDDLE, False), (MIDDLE, LEAST, True)):
         # places with a short match that no run of their document covers: look again at all places of their keys
@@ -206,11 +210,15 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         again = stored(met.join(keys, "key", "left_semi").groupBy("doc_id", "h").agg(F.collect_set("pos").alias("places")), "places")
         around = _some(texts, again.select("doc_id", "h")).dropDuplicates(["doc_id", "h"]).join(again, ["doc_id", "h"])
         keys = stored(around.mapInPandas(_with(_around, gram, longer, all_), "key long, doc_id long, h long, pos int"), "keys", TEXTS)
-        found, met = _joined(keys, texts, longer)
+        found, met, more = _joined(keys, texts, longer)
         every.append(found)
+        pairs = pairs.unionByName(more)
     both = every[0].unionByName(every[1]).unionByName(every[2])
     both = both.groupBy("doc_id", "h").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"), F.max("copy").alias("copy"))
-    both = both.where("size(runs) > 0").unionByName(copies)
+    both = both.where("size(runs) > 0")
+    if leave_copies:
+        return _of_copies(stored(both, "by_doc"), pairs, copies, texts)
+    both = both.unionByName(copies.drop("first_id"))
     return stored(both.select("doc_id", "h", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"), "copy"), "by_doc")
 
 
@@ -218,9 +226,94 @@ def _whole_copies(docs: DataFrame) -> DataFrame:
     """Documents whose whole text stands earlier, found by 128-bit hashes: one run over all words (``ALL``), a copy."""
     names = stored(docs.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), F.col("text")).alias("g")).where("text is not null"), "texts")
     first = names.groupBy("h", "g").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    later = names.join(first, ["h", "g"]).where("doc_id > first_id").select("doc_id", "h").distinct()
+    later = names.join(first, ["h", "g"]).where("doc_id > first_id").groupBy("doc_id", "h").agg(F.min("first_id").alias("first_id"))
     runs = F.array(F.struct(F.lit(0).alias("a"), F.lit(ALL).alias("b")))
-    return stored(later.select("doc_id", "h", runs.alias("runs"), F.lit(True).alias("copy")), "copies")
+    return stored(later.select("doc_id", "h", "first_id", runs.alias("runs"), F.lit(True).alias("copy")), "copies")
+
+
+def _mask(n: int, runs: Iterable) -> np.ndarray:
+    """Which of n words lie in runs (start, end, ...)."""
+    out = np.zeros(n, bool)
+    for a, b, *_ in () if runs is None else runs:
+        out[a:b] = True
+    return out
+
+
+def _alike(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether texts of these words are copies of each other."""
+    if not len(one) or not len(other):
+        return False
+    one, other = np.unique(rolled(one, 5)), np.unique(rolled(other, 5))
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both >= COPY * (len(one) + len(other) - both)
+
+
+def copy_ranges(own: np.ndarray, first: np.ndarray, along: list, others: list, first_cut: list) -> list[tuple[int, int]]:
+    """Ranges to cut from a copy, given its runs along the document it copies and along others, and what is cut there.
+
+    A word that lies in several runs along the first document belongs to the longest.
+    """
+    gone_first = _mask(len(first), first_cut)
+    at = np.full(len(own), -1)
+    for a, b, d in sorted(along, key=lambda r: (r[1] - r[0], -abs(r[2]))):
+        at[a:b] = np.arange(a - d, b - d)
+    gone = np.where(at >= 0, gone_first[at], _mask(len(own), others))
+    if not _alike(own[~gone], first[~gone_first]):
+        gone = _mask(len(own), [*along, *others])
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
+def _cut_like_first(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    worker_cache("line_dedup")
+    triples = lambda runs: [] if runs is None else [(r["a"], r["b"], r["d"]) for r in runs]
+    pairs = lambda runs: [] if runs is None else [(r["a"], r["b"]) for r in runs]
+    for pdf in batches:
+        rows = []
+        for x in pdf.itertuples(index=False):
+            ranges = copy_ranges(hashed_words(x.text), hashed_words(x.first_text), triples(x.along), pairs(x.others), pairs(x.first_cut))
+            rows.append((x.doc_id, x.h, [a for a, _ in ranges], [b for _, b in ranges]))
+        yield pd.DataFrame(rows, columns=["doc_id", "h", "starts", "ends"])
+
+
+def _of_copies(runs: DataFrame, pairs: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, h, starts, ends, copy) to cut, with copies cut as the documents that they copy.
+
+    Documents come after those that they copy, so each round settles the copies of settled documents: as many rounds as
+    the longest chain of copies of copies.
+    """
+    first = pairs.where("copy").groupBy("doc_id", "h").agg(F.min(F.struct("first_id", "first_h")).alias("of"))
+    s, e, d = F.col("starts").alias("a"), F.col("ends").alias("b"), F.col("apart").alias("d")
+    same = F.struct("first_id", "first_h") == F.col("of")
+    near = pairs.join(first, ["doc_id", "h"]).groupBy("doc_id", "h").agg(
+        F.first("of").alias("of"),
+        F.flatten(F.collect_list(F.when(same, F.arrays_zip(s, e, d)))).alias("along"),
+        F.flatten(F.collect_list(F.when(~same, F.arrays_zip(s, e)))).alias("others"),
+    )
+    waiting = stored(near.select("doc_id", "h", F.col("of.first_id").alias("first_id"), F.col("of.first_h").alias("first_h"), "along", "others"), "near")
+    settled = runs.where("not copy").select("doc_id", "h", F.col("runs.a").alias("starts"), F.col("runs.b").alias("ends"))
+    held = ["doc_id", "h"]
+    named = lambda df: df.withColumnsRenamed({"doc_id": "first_id", "h": "first_h"})
+    none = F.array().cast("array<int>")
+    near = settled.limit(0)
+    while not waiting.isEmpty():
+        ready = waiting.join(named(waiting.select(held)), ["first_id", "first_h"], "left_anti")
+        cut_there = named(settled.unionByName(near).select(*held, F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b")).alias("first_cut")))
+        ready = stored(ready.join(cut_there, ["first_id", "first_h"], "left"), "ready")
+        some = (F.size("others") > 0) | (F.coalesce(F.size("first_cut"), F.lit(0)) > 0)
+        work = ready.where(some)
+        names = work.select(held).unionByName(work.select(F.col("first_id").alias("doc_id"), F.col("first_h").alias("h"))).distinct()
+        own = _some(texts, names).dropDuplicates(held)
+        both = work.join(own, held).join(named(own).withColumnRenamed("text", "first_text"), ["first_id", "first_h"])
+        done = both.mapInPandas(_cut_like_first, "doc_id long, h long, starts array<int>, ends array<int>")
+        done = done.unionByName(ready.where(~some).select(*held, none.alias("starts"), none.alias("ends")))
+        near = near.unionByName(stored(done, "settled", TEXTS // 2))
+        waiting = stored(waiting.join(ready.select(held), held, "left_anti"), "near")
+    every = settled.withColumn("copy", F.lit(False)).unionByName(near.withColumn("copy", F.lit(True)))
+    of = every.select(F.col("doc_id").alias("first_id"), "h", "starts", "ends")
+    whole = copies.select("doc_id", "h", "first_id").join(of, ["first_id", "h"], "left")
+    whole = whole.select(*held, F.coalesce("starts", none).alias("starts"), F.coalesce("ends", none).alias("ends"), F.lit(True).alias("copy"))
+    return stored(every.unionByName(whole), "by_doc")
 
 
 def _uncovered(gram: int):
@@ -261,7 +354,7 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
 
     Columns of docs with these names are replaced. Documents whose words are all cut stay, with what is left.
     """
-    runs = repeated_runs(docs)
+    runs = repeated_runs(docs, leave_copies)
     few = runs.count() <= BROADCAST_ROWS
     own = "_run"
     while any(c.lower().startswith(own) for c in docs.columns):  # names that docs doesn't have
@@ -275,7 +368,7 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            done = [(t, 0) if copy and leave_copies else cut(t, a, b) for t, a, b, copy in zip(pdf["text"], pdf[f"{own}_starts"], pdf[f"{own}_ends"], pdf[f"{own}_copy"], strict=True)]
+            done = [cut(t, a, b) if len(a) else (t, 0) for t, a, b in zip(pdf["text"], pdf[f"{own}_starts"], pdf[f"{own}_ends"], strict=True)]
             out = pdf[names].assign(text=[t for t, _ in done], n_cut=[n for _, n in done])
             out["is_copy"] = pdf[f"{own}_copy"].astype(bool)
             if "n_chars" in names:

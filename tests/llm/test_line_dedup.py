@@ -56,6 +56,35 @@ def test_copies_are_left_or_cut(docs_of, passages):
     assert cut[1].n_cut == 200 and cut[1].text == "" and cut[2].n_cut == 199 and cut[2].text == "edited"
 
 
+def test_copies_lose_what_their_first_document_loses(docs_of, passages):
+    p, q, a = passages(1, 60), passages(2, 60), passages(3, 150)
+    text = f"{a} {p}"
+    near = text.split()
+    near[200] = "edited"  # in the passage: 50 and 9 words of it are left on either side
+    texts = [f"{passages(4, 40)} {p}", f"{passages(5, 40)} {q}", text, text, " ".join(near), f"{a} {p} {q[: q.index(' ', 60)]}", text]
+    got = result(docs_of(texts))
+    assert [got[i].n_cut for i in (0, 1, 2, 3, 6)] == [0, 0, 60, 60, 60]
+    assert got[3].text == got[2].text == got[6].text == a and got[4].text.split() == [*a.split(), *near[200:]]
+    assert got[5].text.startswith(a) and got[5].n_cut == 60 and all(got[i].is_copy for i in (3, 4, 5, 6))
+
+
+def test_copies_of_copies_stay_alike(docs_of, passages):
+    """The third copies the second, which copies the first; none is cut, since the first isn't."""
+    w, new = passages(1, 1000).split(), passages(2, 80).split()
+    x = [*new, *w[80:]]
+    got = result(docs_of([" ".join(w), " ".join(x), " ".join([*x[:920], *passages(3, 80).split()])]))
+    assert [got[i].n_cut for i in range(3)] == [0, 0, 0] and got[1].is_copy and got[2].is_copy
+
+
+def test_copy_ranges(passages):
+    own = op.hashed_words(passages(1, 200))
+    assert op.copy_ranges(own, own, [(0, 200, 0)], [(0, 60)], []) == []
+    assert op.copy_ranges(own, own, [(0, 200, 0), (0, 60, -70), (70, 130, 70)], [(70, 130)], [(70, 130)]) == [(70, 130)]
+    assert op.copy_ranges(own, own[:150], [(0, 150, 0)], [(150, 200)], [(0, 100)]) == [(0, 100), (150, 200)]
+    # what is left of the two isn't alike any more: all runs go
+    assert op.copy_ranges(own, own[:170], [(0, 170, 0)], [], [(0, 160)]) == [(0, 170)]
+
+
 def test_within_a_document(docs_of, passages):
     p = passages(1, 60)
     assert result(docs_of([f"{p} {passages(2, 10)} {p}", " ".join(["of"] * 300)]))[0].n_cut == 60
