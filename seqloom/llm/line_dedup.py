@@ -122,8 +122,9 @@ def matched_runs(own: np.ndarray, first: np.ndarray, places: np.ndarray, first_p
         here = np.sort(places[apart == d])
         a = max(0, d)  # where the diagonal begins in own
         length = min(len(own) - a, len(first) - (a - d))
-        if runs and all(any(x <= p and p + gram <= y for x, y, _ in runs) for p in here.tolist()):
-            continue  # a text that repeats a few words has a diagonal for each of its places
+        same = lambda k, d=d: 0 <= k < len(own) and 0 <= k - d < len(first) and own[k] == first[k - d]
+        if runs and all(any(x <= p and p + gram <= y and not same(x - 1) and not same(y) for x, y, _ in runs) for p in here.tolist()):
+            continue  # a text that repeats a few words has a diagonal for each of its places; none reaches beyond these runs
         differ = np.flatnonzero(own[a : a + length] != first[a - d : a - d + length])
         edges = np.concatenate([[-1], differ, [length]])
         at = np.searchsorted(differ, here - a)

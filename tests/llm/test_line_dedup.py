@@ -76,6 +76,14 @@ def test_copies_of_copies_stay_alike(docs_of, passages):
     assert [got[i].n_cut for i in range(3)] == [0, 0, 0] and got[1].is_copy and got[2].is_copy
 
 
+def test_a_diagonal_that_reaches_beyond_a_run_counts(passages):
+    p, t, filler = (passages(k, n).split() for k, n in ((1, 60), (2, 30), (3, 100)))
+    own, first = (op.hashed_words(" ".join(w)) for w in ([*p, *t], [*p[30:], *t, *filler, *p]))
+    places, first_places = (op.np.array(x) for x in ([5, 35], [165, 5]))
+    runs, short = op.matched_runs(own, first, places, first_places, op.GRAM)
+    assert {r[:2] for r in runs} == {(0, 60), (30, 90)} and short == []
+
+
 def test_copy_ranges(passages):
     own = op.hashed_words(passages(1, 200))
     assert op.copy_ranges(own, own, [(0, 200, 0)], [(0, 60)], []) == []
