@@ -66,10 +66,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_pieces and piece_ids of every copy."""
+    """doc_id, lang, source, n_pieces, piece_ids and round_trip (the ids decode to the text) of every copy."""
     small_batches(spark)
-    rows = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), remember=REMEMBERED)
-    return rows.select("doc_id", "lang", "source", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids")
+    rows = sentencepiece_codec.round_trips(docs.select("doc_id", "lang", "source", "text"), remember=REMEMBERED)
+    return rows.select("doc_id", "lang", "source", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

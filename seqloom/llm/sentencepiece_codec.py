@@ -207,6 +207,24 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col:
     return keep.mapInPandas(lambda batches: encoded(batches, _codec(sent.value, remember), text_col, ids_col), schema)
 
 
+def round_trips(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED) -> DataFrame:
+    """docs (with text) and their piece_ids and round_trip (the decoded ids are the text; null: empty); such columns are replaced.
+
+    Encodes and decodes in one Python worker, so decoded texts don't travel.
+    """
+    sent = _model(docs.sparkSession, model)
+    keep = docs.drop("piece_ids", "round_trip")
+    schema = T.StructType([*keep.schema.fields, T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
+
+    def run(batches: Batches) -> Iterator[pd.DataFrame]:
+        codec = _codec(sent.value, remember)
+        for pdf in encoded(batches, codec, "text", "piece_ids"):
+            pdf["round_trip"] = [(text or "") == codec.decode(ids) for text, ids in zip(pdf["text"], pdf["piece_ids"], strict=True)]
+            yield pdf
+
+    return keep.mapInPandas(run, schema)
+
+
 def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded", remember: int = REMEMBERED) -> DataFrame:
     """docs with the text of their ids in text_col, which is replaced if it exists; null ids give null."""
     sent = _model(docs.sparkSession, model)

@@ -30,6 +30,14 @@ def test_odd_rows_pass_each_stage(spark, clashing, none):
         cp.STAGES[-1][1](spark, df, SF).count()
 
 
+def test_the_last_stage_decodes_its_ids(spark, odd):
+    from seqloom.llm import sentencepiece_codec as codec
+
+    want = sorted(map(repr, codec.digest(odd).select("doc_id", "n_ids", "round_trip").collect()))
+    got = cp.STAGES[-1][1](spark, odd, SF)
+    assert sorted(map(repr, got.select("doc_id", got["n_pieces"].alias("n_ids"), "round_trip").collect())) == want
+
+
 def test_hashed_words_are_the_words():
     seen = {}
     for text in ("", " a  b\tA\x1c b\n", "x" * 1_200_000 + " y " + "z" * 700_000, " ".join(map(str, range(200_000))), "É é 日本 x"):
