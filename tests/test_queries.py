@@ -39,6 +39,12 @@ def test_query(spark, duck, name):
     assert got == sorted(repr(plain(r)) for r in rel.select(*(f'"{c}"' for c in names)).fetchall())
 
 
+def test_region_ids_of_all_rows(spark, duck):
+    n = duck.sql("select count(*) from (select distinct l_orderkey, l_returnflag, l_linestatus from lineitem)").fetchall()[0][0]
+    got = plans.QUERIES["region_ids"](spark, SF)
+    assert got.count() == got.select("l_orderkey", "chr", "strand").distinct().count() == n
+
+
 def test_entry(spark):
     import __spark_entry__
 
