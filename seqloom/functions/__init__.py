@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,24 +60,42 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.when(whole != 0, F.round(100.0 * part / whole, digits))
 
 
-def mismatches(items: Column, at: Column, pattern: str) -> Column:
-    """Substitutions between the pattern and the items (an array) from a position on."""
-    return reduce(lambda a, b: a + b, [(F.get(items, at + (i - 1)) != ch).cast("int") for i, ch in enumerate(pattern)])
+def approximate_pattern(pattern: str, most: int) -> str:
+    """A regular expression of all texts that differ from the pattern in ``most`` letters at most.
+
+    Branches part at each letter into "as in the pattern" and "any other", so no text matches two of them and a search
+    gives up at its (most + 1)-th difference.
+    """
+
+    @cache
+    def rest(i: int, left: int) -> str:
+        if i == len(pattern):
+            return ""
+        here = re.escape(pattern[i])
+        if left == 0:
+            return re.escape(pattern[i:])
+        return f"(?:{here}{rest(i + 1, left)}|(?!{here})(?s:.){rest(i + 1, left - 1)})"
+
+    return rest(0, most)
 
 
 def approximate_positions(col: str | Column, pattern: str, most: int = 2, first: int = 1) -> Column:
     """Starts (from 1) of all full-length matches with ``most`` substitutions at most, not before ``first``.
 
-    The text becomes an array once: a substring at each position would count characters from the begin each time.
+    The text is split before each match, overlapping ones too; the lengths of the pieces add up to the starts. A match at
+    the very begin splits nothing off and is looked for by itself. Halves of a surrogate pair begin no match.
     """
     c = _col(col)
-    n = F.length(c) - len(pattern) + 1
+    found = approximate_pattern(pattern, most)
+    pieces = F.split(c, f"(?=(?![\\x{{DC00}}-\\x{{DFFF}}]){found})", -1)
 
-    def find(items: Column) -> Column:
-        return F.filter(F.sequence(F.lit(1), F.size(items) - len(pattern) + 1), lambda p: (p >= first) & (mismatches(items, p, pattern) <= most))
+    def add(state: Column, piece: Column) -> Column:
+        return F.struct((state["at"] + F.length(piece)).alias("at"), F.concat(state["hits"], F.array(state["at"])).alias("hits"))
 
-    one = F.transform(F.array(F.split(c, "")), find)  # the array is bound to a variable, so it is made once
-    return F.when(n < 1, F.array().cast("array<int>")).otherwise(F.element_at(one, 1))
+    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("hits"))
+    starts = F.aggregate(pieces, zero, add, lambda s: s["hits"])
+    starts = F.when(c.rlike(f"^{found}"), starts).otherwise(F.slice(starts, F.lit(2), F.greatest(F.lit(0), F.size(starts) - 1)))
+    return F.filter(starts, lambda p: p >= first) if first > 1 else starts
 
 
 def position_bucket(col: str | Column, size: int) -> Column:

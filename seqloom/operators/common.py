@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,24 +31,62 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "number") -> DataFrame:
-    """df with consecutive numbers from 1 in a total order, without one task that holds all rows.
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir, which driver and executors share; it goes when the session ends.
 
-    Rows are dealt by range into a fixed number of partitions and numbered in each; the partitions' sizes (one number each,
-    gathered by one small job) give the offsets.
+    Where that setting is missing (single-machine tests) it is set to a new local folder.
+    """
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        top = tempfile.mkdtemp(prefix="seqloom-")
+        spark.conf.set("spark.checkpoint.dir", top)
+    path = f"{top.rstrip('/')}/seqloom/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def _dealt(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """df with _part and _row: rows dealt by range, the partition's number and the row's place in it.
+
+    The frame is written once and read back. A range repartition draws a sample for its bounds each time it runs, so
+    sizes counted by a second run would belong to other partitions.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    sizes = {r["p"]: r["n"] for r in dealt.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row a partition
-    offsets, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        offsets.append(total)
-        total += sizes.get(p, 0)
-    start = F.element_at(F.lit(offsets or [0]).cast("array<bigint>"), (part + 1).cast("int"))
-    row = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return dealt.withColumn(name, start + row + 1).drop("_id")
+    place = F.monotonically_increasing_id()
+    rows = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_place", place)
+    rows = rows.withColumns({"_part": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_place")
+    path, schema = shared_dir(spark, "dealt"), rows.schema
+    rows.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _before(parts: DataFrame, value: Column) -> DataFrame:
+    """(_part, _start): the value summed over the partitions before; one row a partition, so small enough for one task."""
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sums = parts.groupBy("_part").agg(value.alias("_sum"))
+    return sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "number") -> DataFrame:
+    """df with consecutive numbers from 1 in a total order, without one task that holds all rows.
+
+    Rows are dealt by range into a fixed number of partitions and numbered there; the sizes of the partitions before give
+    the offsets.
+    """
+    rows = _dealt(df, order)
+    starts = _before(rows, F.count("*"))
+    return rows.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_row") + 1).drop("_part", "_row", "_start")
+
+
+def running_total(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """df with the sum of a column over the rows up to each one in a total order; dealt as in ``numbered``."""
+    rows = _dealt(df, order)
+    starts = _before(rows, F.sum(value))
+    here = F.sum(value).over(W.partitionBy("_part").orderBy("_row").rowsBetween(W.unboundedPreceding, 0))
+    return rows.withColumn(name, here).join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col(name)).drop("_part", "_row", "_start")
 
 
 def drop_null_columns(df: DataFrame, forced: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.functions import paste, sub_first
+from seqloom.operators.common import numbered
 
 
 @dataclass(frozen=True)
@@ -69,11 +70,17 @@ def renumber_replicates(df: DataFrame, study: str, title: str, replicate: str, o
 STRAINS = ("K.12", "BY4741", "H37Rv", "PAO1", "Go1")
 
 
+#: Suffixes of names that are dropped, and the spellings of one virus; fixed values, so that names are the same.
+SUBSTRAIN, STRAIN, SUBSPECIES, SARS2 = " substr\\..*", " str\\..*", " subsp\\..*", "(?i)coronavirus 2|sars cov 2"
+#: What is left of empty and NA fields after joining; a fixed value, for the same reason.
+GAPS = "^_|_$|^NA_|_NA$|^NA$|^_$|^__$|^___$"
+
+
 def organism_cleanup(name: Column) -> Column:
     """Without substrain, known strain, strain and subspecies suffixes, in that order; the second SARS virus has one name."""
-    virus = name.rlike("(?i)coronavirus 2|sars cov 2")
-    strain = sub_first(F.regexp_replace(name, " substr\\..*", ""), f"(?i: ({'|'.join(STRAINS)}))")
-    return F.when(virus, "Sars cov2").otherwise(F.regexp_replace(F.regexp_replace(strain, " str\\..*", ""), " subsp\\..*", ""))
+    virus = name.rlike(SARS2)
+    strain = sub_first(F.regexp_replace(name, SUBSTRAIN, ""), f"(?i: ({'|'.join(STRAINS)}))")
+    return F.when(virus, "Sars cov2").otherwise(F.regexp_replace(F.regexp_replace(strain, STRAIN, ""), SUBSPECIES, ""))
 
 
 #: Spellings of inhibitors; fixed values.
@@ -90,7 +97,7 @@ def recode(col: str, values: dict[str, str]) -> Column:
 
 def without_gaps(text: Column, times: int, none: bool = False) -> Column:
     """Joined fields without empty and NA parts at either end; each pass takes what the one before laid bare."""
-    gap = "^_|_$|^NA_|_NA$|^NA$|^_$|^__$|^___$" + ("|NONE_|_NONE" if none else "")
+    gap = GAPS + ("|NONE_|_NONE" if none else "")
     return reduce(lambda c, _: F.regexp_replace(c, gap, ""), range(times), text)
 
 
@@ -142,7 +149,7 @@ def auto_names(df: DataFrame, name: str, order: Sequence[Column], prefix: str =
     used = F.regexp_extract(F.col(name), f"^{prefix}([0-9]+)$", 1)
     largest = df.agg(F.coalesce(F.max(F.when(used != "", used.cast("long"))), F.lit(0)).alias("_largest"))
     empty = F.coalesce(F.col(name), F.lit("")) == ""
-    missing = df.where(empty).withColumn("_n", F.row_number().over(W.orderBy(*order))).crossJoin(F.broadcast(largest))  # largest: one row
+    missing = numbered(df.where(empty), order, "_n").crossJoin(F.broadcast(largest))  # largest: one row
     filled = missing.withColumn(name, F.concat(F.lit(prefix), (F.col("_largest") + F.col("_n")).cast("string"))).drop("_n", "_largest")
     return df.where(~empty).unionByName(filled)
 

@@ -13,14 +13,23 @@ from pyspark.sql import functions as F
 from seqloom.functions import strip_ends
 from seqloom.operators.common import argmax, numbered
 
-#: Adapters by name. Public sequencing-kit adapters.
+#: Adapters by name, in the order in which they are tried. Names and first letters of kit adapters.
 ADAPTERS = {
     "Illumina Universal Adapter": "AGATCGGAAGAG",
     "Illumina Small RNA 3' Adapter": "TGGAATTCTCGG",
     "Illumina Small RNA 5' Adapter": "GATCGTCGGACT",
     "Nextera Transposase Sequence": "CTGTCTCTTATA",
-    "PolyA": "AAAAAAAAAAAA",
-    "PolyG": "GGGGGGGGGGGG",
+    "SOLID Small RNA Adapter": "CGCCTTGGCCGT",
+    "Ingolia 2012 adapter": "CTGTAGGCACCA",
+    "Illumina Uni. Adapter var2": "ATCGTAGATCGG",
+    "RiboLace adapter": "TCTCCTTGCATA",
+    "polyA": "AAAAAAAAAA",
+    "polyT": "TTTTTTTTTT",
+    "polyN": "NNNNNNNNNN",
+    "New CAC": "CACTCGGGCACC",
+    "New GTG": "GTGTCAGTCACT",
+    "New TGT": "TGTAGGCACCAT",
+    "New TCG": "TCGTATGCCGTC",
 }
 
 
@@ -145,21 +154,42 @@ def barcode_sizes(votes: DataFrame, mean_length: float, max_before: int, cut_lef
     return five, three
 
 
+#: Characters that ``approximate_first`` compares at a time; a longer read is one comparison of its own.
+_AT_ONCE = 1 << 21
+
+
 def approximate_first(batches: Iterator[pd.Series], pattern: str, most: int) -> Iterator[pd.Series]:
-    """First full-length match with ``most`` substitutions at most (0: none), by sliding windows; one Arrow batch at a time."""
+    """First full-length match with ``most`` substitutions at most (0: none). Reads lie end to end, some millions of
+    characters at a time, and one comparison a letter of the pattern serves them all."""
     p = np.frombuffer(pattern.encode("utf-32-le"), np.uint32)
+
+    def first(texts: list[str]) -> np.ndarray:
+        n = np.array([len(t) for t in texts])
+        begin = np.concatenate([[0], np.cumsum(n)[:-1]])
+        x = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        out = np.zeros(len(texts), np.int32)
+        if len(x) < len(p):
+            return out
+        bad = np.zeros(len(x) - len(p) + 1, np.uint16)
+        for k, c in enumerate(p):
+            bad += x[k : k + len(bad)] != c
+        hits = np.flatnonzero(bad <= most)
+        of = np.searchsorted(begin, hits, "right") - 1  # reads of no length share their begin with the next one, which comes last
+        inside = hits + len(p) <= begin[of] + n[of]
+        hit_of, at = np.unique(of[inside], return_index=True)
+        out[hit_of] = hits[inside][at] - begin[hit_of] + 1
+        return out
+
     for batch in batches:
-        out = np.zeros(len(batch), np.int32)
-        for i, s in enumerate(batch):
-            if s is None or len(s) < len(p):
-                continue
-            x = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-            bad = np.zeros(len(x) - len(p) + 1, np.uint8)
-            for k, c in enumerate(p):
-                bad += x[k : k + len(bad)] != c
-            hits = np.flatnonzero(bad <= most)
-            out[i] = hits[0] + 1 if len(hits) else 0
-        yield pd.Series(out)
+        texts = ["" if s is None else s for s in batch]
+        parts, held, size = [], [], 0
+        for t in texts:
+            if held and size + len(t) > _AT_ONCE:
+                parts.append(first(held))
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+        yield pd.Series(np.concatenate([*parts, first(held)]) if held else np.zeros(0, np.int32))
 
 
 def approximate_first_udf(pattern: str, most: int):

@@ -53,20 +53,21 @@ def adapter_content_by_position(t: Tables) -> DataFrame:
     return reads.adapter_content(t.documents, "tion", 50, "text")
 
 
+_BAD = " + ".join(f"(lead(ch, {i}) OVER w <> '{c}')::INT" for i, c in enumerate(PATTERN))
 _APPROX = f"""
-WITH r AS (SELECT doc_id, text AS seq FROM documents),
-h AS (SELECT doc_id, seq, CASE WHEN length(seq) < {len(PATTERN)} THEN [] ELSE
-  list_filter(range(1, length(seq) - {len(PATTERN)} + 2), lambda p: len(list_filter(range(0, {len(PATTERN)}), lambda i: substr(seq, p + i, 1) <> substr('{PATTERN}', i + 1, 1))) <= 2) END AS hits FROM r)
+WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) AS ch, unnest(range(1, length(text) + 1)) AS p FROM documents),
+m AS (SELECT doc_id, p, {_BAD} AS bad FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+h AS (SELECT documents.doc_id, count(p) AS n_hits, min(p) AS first_hit FROM documents LEFT JOIN (SELECT * FROM m WHERE bad <= 2) AS m USING (doc_id) GROUP BY 1)
 """
 
 
-@registry.query(_APPROX + "SELECT doc_id, len(hits) AS n_hits, hits[1] AS first_hit FROM h")
+@registry.query(_APPROX + "SELECT doc_id, n_hits, first_hit FROM h")
 def adapter_positions_approx(t: Tables) -> DataFrame:
     hits = t.documents.select("doc_id", approximate_positions("text", PATTERN, 2).alias("hits"))
     return hits.select("doc_id", F.size("hits").cast("long").alias("n_hits"), F.get("hits", F.lit(0)).cast("long").alias("first_hit"))
 
 
-@registry.query(_APPROX + "SELECT doc_id, coalesce(hits[1], 0) AS first_hit FROM h")
+@registry.query(_APPROX + "SELECT doc_id, coalesce(first_hit, 0) AS first_hit FROM h")
 def matcher_pandas_udf(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", reads.approximate_first_udf(PATTERN, 2)("text").cast("long").alias("first_hit"))
 
@@ -209,14 +210,13 @@ def codon_usage(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-WITH r AS (SELECT doc_id, substr(text, 1, 30) AS cds FROM documents),
-c AS (SELECT doc_id, list_transform(range(0, CAST(floor(length(cds) / 3) AS BIGINT)), lambda i: substr(cds, i * 3 + 1, 3)) AS codons FROM r)
+WITH c AS (SELECT doc_id, regexp_extract_all(text, '(?s)...') AS codons FROM documents)
 SELECT doc_id, array_to_string(list_transform(codons, lambda c: CASE WHEN c LIKE 'The%' THEN 'T' WHEN c LIKE '% %' THEN '*' WHEN lower(c) LIKE 'th%' THEN 'h' ELSE 'X' END), '') AS protein FROM c""")
 def codon_translate(t: Tables) -> DataFrame:
     def letter(c):
         return F.when(c.startswith("The"), "T").when(F.contains(c, F.lit(" ")), "*").when(F.lower(c).startswith("th"), "h").otherwise("X")
 
-    return t.documents.select("doc_id", F.array_join(F.transform(codons(F.substring("text", 1, 30)), letter), "").alias("protein"))
+    return t.documents.select("doc_id", F.array_join(F.transform(codons("text"), letter), "").alias("protein"))
 
 
 @registry.query("""

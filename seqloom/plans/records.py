@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import finite
 from seqloom.operators import analysis, intervals, records
-from seqloom.operators.common import argmax
+from seqloom.operators.common import argmax, numbered, running_total
 from seqloom.plans.common import Registry, Tables
 
 registry = Registry()
@@ -79,11 +79,11 @@ def _features(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey"), F.col("p_partkey").alias("b_start"), (F.col("p_partkey") + F.col("p_size") - 1).alias("b_end"))
 
 
-OVERLAPS = f"WITH i AS ({INTERVALS} WHERE l_orderkey % 10 = 0), h AS (SELECT i.*, p_partkey FROM i JOIN part ON start <= p_partkey + p_size - 1 AND p_partkey <= \"end\")"
+OVERLAPS = f"WITH i AS ({INTERVALS}), h AS (SELECT i.*, p_partkey FROM i JOIN part ON start <= p_partkey + p_size - 1 AND p_partkey <= \"end\")"
 
 
 def _overlaps(t: Tables) -> DataFrame:
-    return intervals.overlap_join(_intervals(t).where("l_orderkey % 10 = 0"), _features(t), [], 32)
+    return intervals.overlap_join(_intervals(t), _features(t), [], 32)
 
 
 @registry.query(OVERLAPS + """, n AS (SELECT strand, count(*) AS n_overlaps FROM h GROUP BY 1)
@@ -99,12 +99,12 @@ def region_count_table(t: Tables) -> DataFrame:
     return _overlaps(t).groupBy("p_partkey").pivot("chr", ["A", "N", "R"]).agg(F.count(F.lit(1))).fillna(0)
 
 
-POSITIONS = f"WITH i AS ({INTERVALS} WHERE l_orderkey % 10 = 0), p AS (SELECT chr, strand, unnest(range(start, \"end\" + 1)) AS pos FROM i), c AS (SELECT chr, strand, pos, count(*) AS score FROM p GROUP BY 1, 2, 3)"
+POSITIONS = f"WITH i AS ({INTERVALS}), p AS (SELECT chr, strand, unnest(range(start, \"end\" + 1)) AS pos FROM i), c AS (SELECT chr, strand, pos, count(*) AS score FROM p GROUP BY 1, 2, 3)"
 STRANDED = ["chr", "strand"]
 
 
 def _runs(t: Tables) -> DataFrame:
-    return intervals.coverage(_intervals(t).where("l_orderkey % 10 = 0"), STRANDED)
+    return intervals.coverage(_intervals(t), STRANDED)
 
 
 @registry.query(POSITIONS + " SELECT * FROM c")
@@ -266,20 +266,17 @@ def length_bucket(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-WITH o AS (SELECT o_orderkey, o_totalprice, sum(o_totalprice) OVER (ORDER BY o_totalprice, o_orderkey ROWS UNBOUNDED PRECEDING) AS used FROM orders WHERE o_custkey % 20 = 0)
+WITH o AS (SELECT o_orderkey, o_totalprice, sum(o_totalprice) OVER (ORDER BY o_totalprice, o_orderkey ROWS UNBOUNDED PRECEDING) AS used FROM orders)
 SELECT o_orderkey, round(used, 2) AS used FROM o WHERE used <= 1000000""")
 def cumulative_budget(t: Tables) -> DataFrame:
-    o = t.orders.where("o_custkey % 20 = 0")
-    used = F.sum("o_totalprice").over(W.orderBy("o_totalprice", "o_orderkey").rowsBetween(W.unboundedPreceding, 0))
-    return o.withColumn("used", used).where("used <= 1000000").select("o_orderkey", F.round("used", 2).alias("used"))
+    o = running_total(t.orders.select("o_orderkey", "o_totalprice"), [F.col("o_totalprice"), F.col("o_orderkey")], "o_totalprice", "used")
+    return o.where("used <= 1000000").select("o_orderkey", F.round("used", 2).alias("used"))
 
 
 @registry.query("""
 WITH r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, p_partkey) - 1 AS k FROM part)
 SELECT p_partkey, k % 8 AS worker, row_number() OVER (PARTITION BY k % 8 ORDER BY k) AS turn FROM r""")
 def interleave_order(t: Tables) -> DataFrame:
-    from seqloom.operators.common import numbered
-
     r = numbered(t.part.select("p_partkey", "p_size"), [F.desc("p_size"), F.col("p_partkey")], "n").withColumn("k", F.col("n") - 1)
     return r.select("p_partkey", (F.col("k") % 8).alias("worker"), (F.floor(F.col("k") / 8) + 1).alias("turn"))
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom import streaming
 from seqloom.operators import runtime
+from seqloom.operators.common import shared_dir
 from seqloom.plans.common import Registry, Tables
 
 registry = Registry()
@@ -32,8 +31,20 @@ def _status(t: Tables) -> DataFrame:
 
 def folder(t: Tables, name: str) -> str:
     """A new folder below the session's shared one."""
-    top = t.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/seqloom"
-    return f"{top.rstrip('/')}/stream/{name}-{uuid.uuid4().hex}"
+    return shared_dir(t.spark, f"stream-{name}")
+
+
+FILES = 4
+
+
+def _event_files(t: Tables) -> str:
+    """The events as a folder of ``FILES`` files, landed one after another in the order of time, for streams of several batches."""
+    path = folder(t, "events")
+    bounds = t.events.agg(F.percentile_approx("ts", [k / FILES for k in range(1, FILES)], 1000)).first()[0]
+    part = sum(((F.col("ts") > F.lit(b)).cast("int") for b in bounds), F.lit(0))
+    for k in range(FILES):
+        t.events.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 @registry.query(FLAGS + "SELECT unit, coalesce(min(step_idx) FILTER (WHERE NOT done) - 1, count(*))::BIGINT AS progress_index, bool_and(done) AS finished FROM s GROUP BY 1")
@@ -83,13 +94,13 @@ def last_update_by_unit(t: Tables) -> DataFrame:
 
 @registry.query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_barcode_counts(t: Tables) -> DataFrame:
-    stream = streaming.source(t.spark, t.dir, t.events.schema, pattern="events.parquet")
+    stream = streaming.source(t.spark, _event_files(t), t.events.schema)
     return streaming.running_counts(stream, ["event_type"], folder(t, "counts"), folder(t, "counts-state"))
 
 
 @registry.query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_append_recollapse(t: Tables) -> DataFrame:
-    stream = streaming.source(t.spark, t.dir, t.events.schema, pattern="events.parquet")
+    stream = streaming.source(t.spark, _event_files(t), t.events.schema)
     return streaming.append_then_compact(stream, ["user_id", "event_type"], folder(t, "parts"), folder(t, "parts-state"))
 
 
@@ -100,10 +111,10 @@ def json_report_fields(t: Tables) -> DataFrame:
 
 
 @registry.query("""
-SELECT user_id, ord AS pos, value FROM (SELECT user_id, unnest(v) AS value, unnest(range(1, len(v) + 1)) AS ord FROM (SELECT user_id, list(round(value, 3) ORDER BY event_id) AS v FROM events WHERE user_id % 10 = 0 GROUP BY 1))""")
+SELECT user_id, ord AS pos, value FROM (SELECT user_id, unnest(v) AS value, unnest(range(1, len(v) + 1)) AS ord FROM (SELECT user_id, list(round(value, 3) ORDER BY event_id) AS v FROM events GROUP BY 1))""")
 def json_curves(t: Tables) -> DataFrame:
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.round("value", 3).alias("v")))), lambda x: x["v"])
-    doc = t.events.where("user_id % 10 = 0").groupBy("user_id").agg(F.to_json(F.struct(ordered.alias("curve"))).alias("doc"))
+    doc = t.events.groupBy("user_id").agg(F.to_json(F.struct(ordered.alias("curve"))).alias("doc"))
     back = doc.select("user_id", F.from_json("doc", "curve array<double>").alias("d"))
     return back.select("user_id", F.posexplode("d.curve").alias("p", "value")).select("user_id", (F.col("p") + 1).cast("long").alias("pos"), "value")
 
@@ -159,4 +170,7 @@ def dead_letter_split(t: Tables) -> DataFrame:
 
 @registry.query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def windowed_event_counts(t: Tables) -> DataFrame:
-    return streaming.windowed_counts(t.events, "ts", "1 hour", "10 minutes", ["event_type"]).select(F.col("window.start").alias("start"), "event_type", "n")
+    stream = streaming.source(t.spark, _event_files(t), t.events.schema).withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need it
+    counts = streaming.windowed_counts(stream, "ts", "1 hour", "10 minutes", ["event_type"])
+    found = streaming.landed(counts, ["window", "event_type"], folder(t, "windows"), folder(t, "windows-state"))
+    return found.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")

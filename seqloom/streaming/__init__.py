@@ -12,21 +12,25 @@ def source(spark: SparkSession, folder: str, schema: T.StructType, files_a_batch
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).option("pathGlobFilter", pattern).parquet(folder)
 
 
-def running_counts(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
-    """Counts by key over all files so far: state between batches, and each batch's changed keys appended with its number.
+def landed(counts: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
+    """The latest n of each key of a stream of counts, each batch's changed keys landed with its number.
 
-    Returns the latest count of each key. A batch that is repeated after a failure overwrites its own folder.
+    A batch that is repeated after a failure overwrites its own folder.
     """
-    counts = stream.groupBy(*keys).agg(F.count("*").alias("n"))
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
-    done = stream.sparkSession.read.parquet(out)
+    done = counts.sparkSession.read.parquet(out)
     return done.groupBy(*keys).agg(F.max_by("n", "batch").alias("n"))
 
 
+def running_counts(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
+    """Counts by key over all files so far, with state between the batches; the latest count of each key."""
+    return landed(stream.groupBy(*keys).agg(F.count("*").alias("n")), keys, out, checkpoint)
+
+
 def append_then_compact(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
     """Partial collapses of each batch landed one after another, then summed."""
 
