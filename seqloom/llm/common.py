@@ -7,7 +7,7 @@ import gc
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +81,34 @@ def hashed_words(text: str | None, fold: bool = False) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def _hashed(data: bytes, fold: bool) -> np.ndarray:
+def hashed_texts(texts: Sequence[str | None], fold: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number of the first text, hashes of all words, number of words of each) of groups of neighbouring texts.
+
+    Some hundred KB are hashed at a time; a longer text is a group of its own.
+    """
+    held: list[bytes] = []
+    size = 0
+    for i, text in enumerate(texts):
+        data = (text or "").encode("utf-8", "surrogatepass")
+        if held and size + len(data) > _AT_ONCE:
+            yield i - len(held), *_group(held, fold)
+            held, size = [], 0
+        held.append(data)
+        size += len(data)
+    if held:
+        yield len(texts) - len(held), *_group(held, fold)
+
+
+def _group(texts: list[bytes], fold: bool) -> tuple[np.ndarray, np.ndarray]:
+    if len(texts) == 1:
+        words = hashed_words(texts[0].decode("utf-8", "surrogatepass"), fold)
+        return words, np.array([len(words)])
+    words, begin = _hashed(b" ".join(texts), fold, True)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return words, np.diff(np.searchsorted(begin, ends), prepend=0)
+
+
+def _hashed(data: bytes, fold: bool, places: bool = False):
     b = np.frombuffer(data, np.uint8)
     inside = ~_SPACE[b]
     edge = np.empty(len(b) + 1, bool)
@@ -92,7 +119,8 @@ def _hashed(data: bytes, fold: bool) -> np.ndarray:
     up, down = powers(len(b))
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(np.take(_FOLDED if fold else _BYTES, b) * up, out=sums[1:])
-    return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    words = mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+    return (words, begin) if places else words
 
 
 _CACHES: dict[str, dict] = {}

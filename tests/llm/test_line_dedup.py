@@ -76,12 +76,58 @@ def test_copies_of_copies_stay_alike(docs_of, passages):
     assert [got[i].n_cut for i in range(3)] == [0, 0, 0] and got[1].is_copy and got[2].is_copy
 
 
-def test_a_diagonal_that_reaches_beyond_a_run_counts(passages):
+def test_a_match_that_reaches_beyond_a_run_counts(docs_of, passages):
     p, t, filler = (passages(k, n).split() for k, n in ((1, 60), (2, 30), (3, 100)))
-    own, first = (op.hashed_words(" ".join(w)) for w in ([*p, *t], [*p[30:], *t, *filler, *p]))
-    places, first_places = (op.np.array(x) for x in ([5, 35], [165, 5]))
-    runs, short = op.matched_runs(own, first, places, first_places, op.GRAM)
-    assert {r[:2] for r in runs} == {(0, 60), (30, 90)} and short == []
+    rows = [(i, " ".join(w), "en", "s") for i, w in enumerate([[*p[30:], *t, *filler, *p], [*p, *t]])]
+    got = result(docs_of(rows), leave_copies=False)
+    assert got[1].n_cut == 90 and got[1].text == ""
+
+
+def test_random_blocks(docs_of, passages):
+    """Overlapping parts of earlier documents, repeats within a text, and texts of a few words again and again."""
+    rng = random.Random(11)
+    words = passages(77, 400).split()
+    for _ in range(2):
+        texts = []
+        for _ in range(120):
+            parts = []
+            for _ in range(rng.randint(1, 6)):
+                a = rng.randrange(360)
+                kind = rng.random()
+                if kind < 0.6:
+                    parts += words[a : a + rng.randint(10, 120)]
+                elif kind < 0.8:
+                    parts += words[a : a + rng.choice([1, 1, 2, 3, 60])] * rng.randint(5, 150)
+                else:
+                    parts += [f"x{rng.randrange(10**9)}" for _ in range(rng.randint(1, 30))]
+            texts.append(" ".join(parts))
+        got = result(docs_of(texts), leave_copies=False)
+        assert {i: r.text.split() for i, r in got.items()} == brute(list(enumerate(texts)))
+
+
+def test_documents_table(spark):
+    import os
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = result(docs, leave_copies=False)
+    assert {i: r.text.split() for i, r in got.items()} == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_chains():
+    text, around = op.np.array([0, 0, 0, 0, 0, 0, 1]), op.np.array([1, 1, 1, 1, 2, 1, 1], op.np.uint64)
+    found = op.chains(text, around, op.np.array([0, 3, 6, 8, 9, 200, 300]))
+    assert sorted(zip(*(x.tolist() for x in found))) == [(0, 3, 6, False), (3, 0, 8, True), (4, 0, 9, False), (5, 0, 200, True), (6, 0, 300, False)]
+
+
+def test_groups_of_texts_hash_as_texts_alone(passages):
+    texts = [passages(1, 300), "", None, " \n", passages(2, 5), "😀 x" * 9, passages(3, 200_000)]
+    for _ in range(2):
+        got = [(i + k, words[a : a + n].tolist()) for i, words, count in op.hashed_texts(texts) for k, (a, n) in enumerate(zip((op.np.cumsum(count) - count).tolist(), count.tolist()))]
+        assert got == [(i, op.hashed_words(t).tolist()) for i, t in enumerate(texts)]
+        texts = texts[::-1]
 
 
 def test_copy_ranges(passages):
