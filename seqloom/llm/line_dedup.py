@@ -331,8 +331,8 @@ def repeated_runs(docs: DataFrame, leave_copies: bool = False) -> DataFrame:
 def _whole_copies(docs: DataFrame) -> DataFrame:
     """Documents whose whole text stands earlier, found by 128-bit hashes: one run over all words (``ALL``), a copy."""
     names = stored(docs.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), F.col("text")).alias("g")).where("text is not null"), "texts")
-    first = names.groupBy("h", "g").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    later = names.join(first, ["h", "g"]).where("doc_id > first_id").groupBy("doc_id", "h").agg(F.min("first_id").alias("first_id"))
+    first = stored(names.groupBy("h", "g").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "first")
+    later = names.join(_hinted(first, BROADCAST_KEYS // 4), ["h", "g"]).where("doc_id > first_id").groupBy("doc_id", "h").agg(F.min("first_id").alias("first_id"))
     runs = F.array(F.struct(F.lit(0).alias("a"), F.lit(ALL).alias("b")))
     return stored(later.select("doc_id", "h", "first_id", runs.alias("runs"), F.lit(True).alias("copy")), "copies")
 

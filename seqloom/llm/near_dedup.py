@@ -8,6 +8,9 @@ block pairs that can hold a new link are compared. In a region the whole signatu
 the pairs that can be links (within ``SLACK``) are confirmed on the full sets, in the task of the region; only confirmed
 links leave it, those that join texts not joined yet.
 
+Rows are dealt by range. A region that a range's bound may cut, the first and the last of a partition, is put together again
+afterwards; where it has more than ``PART`` rows its texts outside the largest component go to each of its parts.
+
 Two rounds: the first, on 4 trees and each text's best neighbours, joins most copies; in the second, on the other
 trees, regions whose texts are all joined already are left out, and every pair within the slack is confirmed.
 
@@ -15,7 +18,8 @@ A pair at the threshold of 0.85 shares 5 levels of a given tree with probability
 probability 1e-7 in small regions; the estimate misses it with probability below 1e-4.
 
 Nulls and empty texts: no shingles, linked with nothing, kept. Rows that share a doc_id count as one document; rows
-without a doc_id get no component and are kept.
+without a doc_id get no component and are kept. Texts with the same words tie: the smallest doc_id stands for them, and of
+equal estimates the smaller ids are compared first; neither changes the result. Other columns of the input aren't read.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ TREES, LEVELS = 32, 8
 SHALLOW, REGION = 5, 256
 FIRST_TREES, FIRST_PARTNERS = 4, 4
 SLACK = 0.085
+#: Rows of a partition that looks for regions.
+PART = 1_000_000
 #: Ids that are broadcast at most (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -101,16 +107,38 @@ def region_ids(tree: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, depth
 
 
-def _regions(batches: Iterable[pd.DataFrame], exact: bool, threshold: float = 0.8) -> Iterator[pd.DataFrame]:
-    """(region, tree, rep) of the texts that have a neighbour of another component and of a fitting size: sets whose sizes differ by more than ``threshold`` can't be links."""
+_PLACES = "region long, tree int, rep long, comp long, n_shingles long, band binary"
+
+
+def _regions(batches: Iterable[pd.DataFrame], exact: bool, threshold: float = 0.8, hold: bool = False) -> Iterator[pd.DataFrame]:
+    """(region, tree, rep) of the texts that have a neighbour of another component and of a fitting size: sets whose sizes differ by more than ``threshold`` can't be links.
+
+    hold: the first and the last region (``SHALLOW`` levels) may go on in other partitions, so their rows come out as they
+    are, without a region. Otherwise rows of different ``chunk`` are no neighbours.
+    """
     parts = [pdf for pdf in batches if len(pdf)]
     if not parts:
         return
     pdf = pd.concat(parts, ignore_index=True)
+    if hold:
+        tree, band = pdf["tree"].to_numpy(), pdf["band"]
+        edge = np.zeros(len(pdf), bool)
+        for at in (0, len(pdf) - 1):
+            edge |= (tree == tree[at]) & band.str.slice(0, SHALLOW).eq(band[at][:SHALLOW]).to_numpy()
+        yield pdf[edge].assign(region=pd.array([None] * int(edge.sum()), "Int64"))
+        pdf = pdf[~edge].reset_index(drop=True)
+        if not len(pdf):
+            return
+    for found in _neighbours(pdf, exact, threshold):
+        yield found.assign(comp=0, n_shingles=0, band=b"") if hold else found
+
+
+def _neighbours(pdf: pd.DataFrame, exact: bool, threshold: float) -> Iterator[pd.DataFrame]:
     tree, rep, comp, n = (pdf[c].to_numpy() for c in ("tree", "rep", "comp", "n_shingles"))
+    chunk = pdf["chunk"].to_numpy() if "chunk" in pdf else np.zeros(len(pdf), np.int64)
     raw = b"".join(pdf["band"])
     bands = np.frombuffer(raw, np.uint8).reshape(-1, LEVELS)
-    start, depth = region_ids(tree, bands)
+    start, depth = region_ids(tree + len(_MULTIPLY) * chunk, bands)
     edges = np.append(np.flatnonzero(np.diff(start, prepend=-1)), len(start))
     ids, trees, reps = [], [], []
     for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -124,7 +152,7 @@ def _regions(batches: Iterable[pd.DataFrame], exact: bool, threshold: float = 0.
         rows = np.flatnonzero(fitting) + a
         if len(rows) < 2:
             continue
-        key = raw[a * LEVELS : a * LEVELS + depth[a]] + bytes([tree[a], depth[a]])
+        key = raw[a * LEVELS : a * LEVELS + depth[a]] + b"%d,%d,%d:" % (tree[a], depth[a], chunk[a])
         groups = [(key, rows)]
         if len(rows) > REGION:
             groups = []
@@ -244,6 +272,19 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
 
 
+def _cut_regions(edges: DataFrame, exact: bool, threshold: float) -> DataFrame:
+    """(region, tree, rep) of the regions at partitions' ends, put together again; two groups a partition at most."""
+    spark, group = edges.sparkSession, ["tree", "near"]
+    edges = edges.drop("region").withColumn("near", F.expr(f"substring(band, 1, {SHALLOW})"))
+    sizes = edges.groupBy(*group, "comp").agg(F.count("*").alias("m")).groupBy(*group)
+    sizes = stored(sizes.agg(F.ceil(F.sum("m") / PART).alias("chunks"), F.max_by("comp", F.struct("m", "comp")).alias("main")), "sizes")
+    own = F.array(F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    every = F.when(F.col("comp") != F.col("main"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).otherwise(own) if exact else own
+    rows = edges.join(F.broadcast(sizes), group).withColumn("chunk", F.explode(every)).drop("chunks", "main")
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *group, "chunk").sortWithinPartitions("tree", "chunk", "band", "rep")
+    return stored(rows.drop("near").mapInPandas(_with(_regions, exact, threshold), "region long, tree int, rep long"), "cut")
+
+
 def _round(docs: DataFrame, reps: DataFrame, comps: DataFrame | None, trees: range, exact: bool, percent: int) -> DataFrame:
     """Confirmed links between texts of different components, from these trees. reps: rep, n_shingles, sig."""
     spark = docs.sparkSession
@@ -253,9 +294,10 @@ def _round(docs: DataFrame, reps: DataFrame, comps: DataFrame | None, trees: ran
     tree = F.explode(F.lit(list(trees)))
     rows = own.select("rep", "n_shingles", "comp", "sig", tree.alias("tree"))
     rows = rows.select("tree", F.expr(f"substring(sig, tree * {LEVELS} + 1, {LEVELS})").alias("band"), "rep", "comp", F.col("n_shingles"))
-    dealt = rows.repartitionByRange(parts_for(n * len(trees), 1_000_000, spark), "tree", "band", "rep").sortWithinPartitions("tree", "band", "rep")
+    dealt = rows.repartitionByRange(parts_for(n * len(trees), PART, spark), "tree", "band", "rep").sortWithinPartitions("tree", "band", "rep")
     threshold = percent / 100
-    regions = stored(dealt.mapInPandas(_with(_regions, exact, threshold), "region long, tree int, rep long"), "regions")
+    regions = stored(dealt.mapInPandas(_with(_regions, exact, threshold, True), _PLACES), "regions")
+    regions = regions.where("region is not null").select("region", "tree", "rep").unionByName(_cut_regions(regions.where("region is null"), exact, threshold))
     by_region = lambda df: df.repartition("region").sortWithinPartitions("region", "rep")
     sketched = regions.join(own, "rep")
     pairs = stored(by_region(sketched).mapInPandas(_with(_partners, threshold, 0 if exact else FIRST_PARTNERS, trees.start), "region long, rep long, partners array<long>"), "partners")

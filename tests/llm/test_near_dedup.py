@@ -72,6 +72,14 @@ def test_sizes_that_just_fit(docs_of, passages):
     assert [c for _, c in want.values()] == [i - i % 2 for i in range(24)]
 
 
+def test_regions_across_partition_bounds(docs_of, passages, monkeypatch):
+    """Partitions of some 40 rows cut most regions, and those of more rows than that have several parts."""
+    monkeypatch.setattr(op, "PART", 40)
+    rng = random.Random(12)
+    texts = [t for seed in (3, 5) for t in family(passages, rng, seed, 90, 120, 4)]
+    check(docs_of, texts + [passages(700 + k, 60) for k in range(60)], 80)
+
+
 def test_large_regions_are_compared_in_blocks(passages):
     """Texts of equal bands beyond a region's size meet in some block pair when a component differs."""
     import numpy as np
