@@ -66,8 +66,13 @@ def hashed_words(text: str | None, fold: bool = False) -> np.ndarray:
 
     No word becomes a Python object: the hashes are differences of one cumulated sum over the text's bytes.
     """
-    data = (text or "").encode("utf-8", "surrogatepass")
-    parts, at = [], 0
+    parts = [_hashed(p, fold)[0] for p in pieces((text or "").encode("utf-8", "surrogatepass"))]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``_AT_ONCE`` bytes, cut at white space; longer where there is none. Nothing for an empty text."""
+    at = 0
     while at < len(data):
         end = at + _AT_ONCE
         if end < len(data):  # up to the next white space, so no word is cut
@@ -76,9 +81,35 @@ def hashed_words(text: str | None, fold: bool = False) -> np.ndarray:
                 end += _AT_ONCE
                 later = np.flatnonzero(_SPACE[np.frombuffer(data, np.uint8, min(len(data) - end, _AT_ONCE), end)])
             end = end + int(later[0]) if len(later) else len(data)
-        parts.append(_hashed(data[at:end], fold))
+        yield data[at:end]
         at = end
-    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def word_groups(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """(number of its text, hash, begin and end of each word, the bytes that these are places of) of some hundred KB at a time.
+
+    A longer text comes in several groups.
+    """
+    held: list[bytes] = []
+    rows: list[int] = []
+    size = 0
+
+    def made() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+        data = b" ".join(held)
+        words, begin, end = _hashed(data, False)
+        count = np.diff(np.searchsorted(begin, np.cumsum([len(p) + 1 for p in held])), prepend=0)
+        return np.repeat(np.array(rows), count), words, begin, end, data
+
+    for i, text in enumerate(texts):
+        for piece in pieces((text or "").encode("utf-8", "surrogatepass")):
+            if held and size + len(piece) > _AT_ONCE:
+                yield made()
+                held, rows, size = [], [], 0
+            held.append(piece)
+            rows.append(i)
+            size += len(piece)
+    if held:
+        yield made()
 
 
 def hashed_texts(texts: Sequence[str | None], fold: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -103,12 +134,13 @@ def _group(texts: list[bytes], fold: bool) -> tuple[np.ndarray, np.ndarray]:
     if len(texts) == 1:
         words = hashed_words(texts[0].decode("utf-8", "surrogatepass"), fold)
         return words, np.array([len(words)])
-    words, begin = _hashed(b" ".join(texts), fold, True)
+    words, begin, _ = _hashed(b" ".join(texts), fold)
     ends = np.cumsum([len(t) + 1 for t in texts])
     return words, np.diff(np.searchsorted(begin, ends), prepend=0)
 
 
-def _hashed(data: bytes, fold: bool, places: bool = False):
+def _hashed(data: bytes, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, begins and ends of the words."""
     b = np.frombuffer(data, np.uint8)
     inside = ~_SPACE[b]
     edge = np.empty(len(b) + 1, bool)
@@ -119,8 +151,7 @@ def _hashed(data: bytes, fold: bool, places: bool = False):
     up, down = powers(len(b))
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(np.take(_FOLDED if fold else _BYTES, b) * up, out=sums[1:])
-    words = mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    return (words, begin) if places else words
+    return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), begin, end
 
 
 _CACHES: dict[str, dict] = {}

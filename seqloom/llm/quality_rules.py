@@ -1,17 +1,22 @@
 """Quality rules: counted base rules and n-gram perplexity bands.
 
-Perplexity comes from a modified Kneser-Ney model of order 3 over characters folded into 64 symbols (letters, space,
-digit, punctuation, and hashed classes of other characters). Spark counts the n-grams of all documents for each language
-class; the model lies in sorted arrays of keys with their log-probabilities. Keys have 18 bits and there are 64 language
-classes, so a model has 2**18 n-grams a class at most and 2**24 in all, whatever the input: that bounds what the driver
-gathers and broadcasts (some 20,000 n-grams a language in practice).
-
-Verdict: a document fails the base rules, or its mean log-perplexity lies outside its language's band. The band reaches
-``reach`` times the distance from the median to the lower and to the upper quartile of the documents that pass the base
-rules, and ``LEAST`` at least on either side, so a language's ordinary spread stays inside.
-
-Nulls: a null text has no words and fails the base rules; a null language is a language of its own. The perplexity of an
-empty text is null.
+Perplexity comes from a modified Kneser-Ney model of order 5 over the characters of marked words: a word is its code
+points and an end mark, what stands before it is no context. So a word costs what it is worth by itself, and a text of
+words that are rare in its language costs more for each of them, even where it is written in one rare way throughout.
+Spark counts the n-grams of all documents by language, nothing is folded, and the tables grow with the input: distinct
+n-grams are rows (language, two packed numbers), lower orders and probabilities follow by joins. For scoring, an n-gram's
+log-probability is looked up by hash in a sorted array. Where the model has ``BROADCAST_GRAMS`` rows at most the array is
+broadcast; a larger model is joined with the distinct n-grams of each block of documents, and a block has an array of its
+own.
+
+Verdict: a document fails the base rules, or its mean log-perplexity a word lies outside its language's band. A mean over
+n words scatters with the root of n, so the band around the language's median is ``reach`` times the quartile distance
+(to either side) of (mean - median) * sqrt(n), divided by sqrt(n), and ``least`` at least. Quartiles are of the documents
+that pass the base rules, from histograms of rounded values, so reruns agree.
+
+Nulls: a null text has no words, fails the base rules and has a null perplexity; a null language is a language of its own.
+Rows without a doc_id and repeated rows are judged like others, each for itself (and all count in the model). Other
+columns aren't read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,166 +25,154 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import TEXTS, documents, hashed_words, rolled, stored, worker_cache
+from .common import TEXTS, documents, mixed, rolled, stored, word_groups, worker_cache
 
-BITS, ORDER, CLASSES = 6, 3, 64
+ORDER = 5
+#: Bits of a packed code point; END is a word's end, NONE stands for what is before its begin.
+BITS = 21
+END, NONE = 32, 0x110000
 MASK = (1 << BITS) - 1
-REACH, LEAST = 8.0, 0.4
+REACH, LEAST = 8.0, 0.5
 MIN_WORDS, MOST_REPEATED = 50, 50
+#: N-grams of a model that is broadcast (12 bytes each); a larger one is joined by blocks of documents.
+BROADCAST_GRAMS = 4_000_000
+#: Bytes of text in a block of documents then, and n-grams that a counting task holds.
+BLOCK, HELD = 64_000_000, 1_000_000
 WHITE = b" \t\n\x0b\x0c\r"
-#: Symbols of ASCII characters: a-z 0-25, space 26, digit 27, then these 20; others share the classes 48-63.
-PUNCTUATION = ".,;:!?'\"()-/#*$%&|<>"
-
-
-def _symbols() -> np.ndarray:
-    """Symbol of each code point below 0x3000."""
-    table = np.zeros(0x3000, np.uint8)
-    for c in range(len(table)):
-        low = chr(c).lower()[0]
-        if "a" <= low <= "z":
-            table[c] = ord(low) - 97
-        elif low.isspace():
-            table[c] = 26
-        elif "0" <= low <= "9":
-            table[c] = 27
-        elif low in PUNCTUATION:
-            table[c] = 28 + PUNCTUATION.index(low)
-        else:
-            table[c] = 48 + (ord(low) * 2654435761 >> 7) % 16
-    return table
 
+_PRIME = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
-SYMBOLS = _symbols()
 
+def _turned(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
 
-def symbols(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    far = points >= len(SYMBOLS)
-    if far.any():
-        return np.where(far, 48 + (points.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(7)).astype(np.uint32) % 16, SYMBOLS[np.where(far, 0, points)]).astype(np.uint32)
-    return SYMBOLS[points].astype(np.uint32)
 
+def xxhash_longs(*columns: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of columns of longs, on 64-bit arrays (public algorithm XXH64, seed 42)."""
+    h = np.full(len(columns[0]), 42, np.uint64)
+    for x in columns:
+        h = (h + _PRIME[4] + np.uint64(8)) ^ (_turned(x.astype(np.uint64) * _PRIME[1], 31) * _PRIME[0])
+        h = _turned(h, 27) * _PRIME[0] + _PRIME[3]
+        h = (h ^ (h >> np.uint64(33))) * _PRIME[1]
+        h = (h ^ (h >> np.uint64(29))) * _PRIME[2]
+        h ^= h >> np.uint64(32)
+    return h
 
-def grams(text: str) -> np.ndarray:
-    """Keys of the 3-grams of a text, one for each character (two spaces stand before it)."""
-    s = np.concatenate([np.full(ORDER - 1, 26, np.uint32), symbols(text)])
-    return s[:-2] << (2 * BITS) | s[1:-1] << BITS | s[2:]
 
+def symbols(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Code points of words given as byte ranges, each with END after it."""
+    n = end - begin + 1
+    after = np.cumsum(n)
+    raw = np.frombuffer(data, np.uint8)
+    out = raw[np.minimum(np.repeat(begin - (after - n), n) + np.arange(after[-1]), len(raw) - 1)]
+    out[after - 1] = END
+    return np.frombuffer(out.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
-def language_class(lang: str | None) -> int:
-    """0-63; null is 63. A polynomial hash, so that it can be told apart by hand: de, en, es, fr differ."""
-    if lang is None:
-        return CLASSES - 1
-    h = 0
-    for c in lang:
-        h = (h * 31 + ord(c)) % 1_000_003
-    return h % (CLASSES - 1)
 
+def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hi, lo): at each symbol the n-gram that ends there. lo packs the symbol and the two before it, hi the two before those."""
+    at = np.arange(len(points))
+    begins = np.concatenate([[True], points[:-1] == END])
+    place = at - np.maximum.accumulate(np.where(begins, at, 0))
+    back = [points, *(np.where(place >= j, np.concatenate([points[:j], points[:-j]])[: len(points)], np.uint64(NONE)) for j in range(1, ORDER))]
+    packed = [x << np.uint64(BITS * k) for x, k in zip(back, (0, 1, 2, 0, 1), strict=True)]
+    return packed[3] | packed[4], packed[0] | packed[1] | packed[2]
 
-def _counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(lang, key, n) of a task: dense counts of each language class that it meets, 2 MB each."""
-    seen: dict[int, np.ndarray] = {}
-    for pdf in batches:
-        for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-            if text:
-                k = language_class(lang)
-                if k not in seen:
-                    seen[k] = np.zeros(1 << (BITS * ORDER), np.int64)
-                found = grams(text)
-                if len(found) > 20_000:
-                    seen[k] += np.bincount(found, minlength=1 << (BITS * ORDER))
-                else:
-                    np.add.at(seen[k], found, 1)
-    for k, counts in seen.items():
-        keys = np.flatnonzero(counts)
-        yield pd.DataFrame({"lang": np.full(len(keys), k, np.int32), "key": keys.astype(np.int32), "n": counts[keys]})
 
+def distinct_words(languages: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first place, number of each word, count) of the distinct words of a group, by language."""
+    _, first, of, count = np.unique(hashes ^ mixed(languages.view(np.uint64)), return_index=True, return_inverse=True, return_counts=True)
+    return first, of, count
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, key, n) over all documents."""
-    counted = docs.select("lang", "text").mapInPandas(_counted, "lang int, key int, n long")
-    return counted.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
+def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Counts of equal n-grams (language, hi, lo, n) added up."""
+    lang, hi, lo, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, first, of = np.unique(xxhash_longs(lang.view(np.uint64), hi, lo), return_index=True, return_inverse=True)
+    return lang[first], hi[first], lo[first], np.bincount(of, n).astype(np.int64)
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 1, 2 and 3 or more, from the counts of counts."""
-    n = [float((counts == k).sum()) for k in (1, 2, 3, 4)]
-    if min(n[:3]) <= 0:
-        return np.array([0.5, 0.75, 0.9])
-    y = n[0] / (n[0] + 2 * n[1])
-    found = np.array([1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]])
-    return np.clip(found, [0.05, 0.1, 0.15], [0.95, 1.9, 2.85])
 
+def _counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    worker_cache("quality_rules")
+    held: list[tuple[np.ndarray, ...]] = []
 
-class KneserNey:
-    """Modified Kneser-Ney of order 3 from 3-gram counts. Sorted keys of each order with probabilities and context weights."""
+    def out() -> pd.DataFrame:
+        return pd.DataFrame(dict(zip(("lk", "hi", "lo", "n"), (x.view(np.int64) for x in held[0]), strict=True)))
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.keys3, c3 = keys[order].astype(np.int64), counts[order].astype(float)
-        # continuation counts: of bc the distinct a before it, of c the distinct b
-        self.keys2, c2 = np.unique(self.keys3 & ((1 << 2 * BITS) - 1), return_counts=True)
-        self.keys1, c1 = np.unique(self.keys2 & MASK, return_counts=True)
-        d1 = _discounts(c1)
-        used = d1[np.minimum(c1, 3) - 1]
-        p1 = (c1 - used) / c1.sum()
-        self.unseen = used.sum() / c1.sum() / (MASK + 1)
-        self.p1 = np.full(MASK + 1, self.unseen)
-        self.p1[self.keys1] += p1
-        self.contexts2, self.weight2, own2 = self._own(self.keys2, c2.astype(float))
-        self.p2 = own2 + self._weight(self.contexts2, self.weight2, self.keys2 >> BITS) * self.p1[self.keys2 & MASK]
-        self.contexts3, self.weight3, own3 = self._own(self.keys3, c3)
-        self.p3 = own3 + self._weight(self.contexts3, self.weight3, self.keys3 >> BITS) * self._p2(self.keys3 & ((1 << 2 * BITS) - 1))
-        self.log3 = np.log(self.p3)
-
-    @staticmethod
-    def _own(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Contexts, the weight each leaves to the lower order, and each key's own discounted share."""
-        contexts, at = np.unique(keys >> BITS, return_inverse=True)
-        totals = np.bincount(at, counts)
-        used = _discounts(counts)[np.minimum(counts, 3).astype(int) - 1]
-        return contexts, np.bincount(at, used) / totals, np.maximum(counts - used, 0) / totals[at]
-
-    @staticmethod
-    def _at(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(sorted_keys, keys), max(0, len(sorted_keys) - 1))
-        return at, sorted_keys[at] == keys if len(sorted_keys) else np.zeros(len(keys), bool)
-
-    def _weight(self, contexts: np.ndarray, weights: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        at, there = self._at(contexts, keys)
-        return np.where(there, weights[at], 1.0)
-
-    def _p2(self, keys: np.ndarray) -> np.ndarray:
-        at, there = self._at(self.keys2, keys)
-        return np.where(there, self.p2[at], self._weight(self.contexts2, self.weight2, keys >> BITS) * self.p1[keys & MASK])
-
-    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        at, there = self._at(self.keys3, keys)
-        out = self.log3[at]
-        if not there.all():
-            new = keys[~there]
-            out[~there] = np.log(self._weight(self.contexts3, self.weight3, new >> BITS) * self._p2(new & ((1 << 2 * BITS) - 1)))
-        return out
-
-    def mean_log_perplexity(self, text: str) -> float:
-        return float(-self.log_probabilities(grams(text).astype(np.int64)).mean())
-
-
-def fit(docs: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """language class -> sorted 3-gram keys and counts of all documents; bounded by the key space (see above)."""
-    pdf = stored(count_grams(docs), "grams", TEXTS).toPandas()
-    return {int(k): (g["key"].to_numpy(), g["n"].to_numpy()) for k, g in pdf.sort_values(["lang", "key"]).groupby("lang")}
-
-
-def base_statistics(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    for pdf in batches:
+        languages = pdf["lk"].to_numpy()
+        for text, words, begin, end, data in word_groups(pdf["text"]):
+            if not len(words):
+                continue
+            first, _, count = distinct_words(languages[text], words)
+            points = symbols(data, begin[first], end[first])
+            word = np.concatenate([[0], np.cumsum(points == END)[:-1]])
+            held.append(_added([(languages[text][first][word], *grams(points), count[word])]))
+            if len(held) >= 16:
+                held = [_added(held)]
+                if len(held[0][0]) > HELD:
+                    yield out()
+                    held = []
+    if held:
+        held = [_added(held)]
+        yield out()
+
+
+def count_grams(docs: DataFrame) -> DataFrame:
+    """(lk, hi, lo, n) over all documents; lk is the language's xxhash64 (null: 42)."""
+    counted = docs.select(F.xxhash64("lang").alias("lk"), "text").mapInPandas(_counted, "lk long, hi long, lo long, n long")
+    return counted.groupBy("lk", "hi", "lo").agg(F.sum("n").alias("n"))
+
+
+def _shorter(order: int) -> tuple[Column, Column]:
+    """hi and lo of an n-gram of this order without its oldest symbol."""
+    hi, lo = F.col("hi"), F.col("lo")
+    kept = lo.bitwiseAND(F.lit((1 << BITS * min(order - 1, 3)) - 1))
+    return (hi.bitwiseAND(F.lit(MASK)) if order == 5 else F.lit(0).cast("long")).alias("hi"), kept.alias("lo")
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """(lk, hi, lo, p) of every counted n-gram: modified Kneser-Ney, interpolated down to order 1 and the alphabet.
+
+    A lower order counts the distinct symbols before; discounts of counts 1, 2 and 3 or more come from the counts of counts
+    of each language and order.
+    """
+    tables = {ORDER: counts}
+    for m in range(ORDER, 1, -1):
+        hi, lo = _shorter(m)
+        tables[m - 1] = stored(tables[m].groupBy("lk", hi, lo).agg(F.count("*").alias("n")), f"order-{m - 1}")
+    n, p = F.col("n"), None
+    for m in range(1, ORDER + 1):
+        k = [F.count_if(n == i).cast("double") for i in (1, 2, 3, 4)]
+        y, some = k[0] / (k[0] + 2 * k[1]), (k[0] > 0) & (k[1] > 0) & (k[2] > 0)
+        best = [i + 1 - (i + 2) * y * k[i + 1] / F.when(k[i] > 0, k[i]) for i in range(3)]
+        bounded = lambda c, i: F.greatest(F.lit((0.05, 0.1, 0.15)[i]), F.least(F.lit((0.95, 1.9, 2.85)[i]), c))
+        rare = tables[m].groupBy("lk").agg(*(F.when(some, bounded(c, i)).otherwise((0.5, 0.75, 0.9)[i]).alias(f"d{i + 1}") for i, c in enumerate(best)))
+        own = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
+        after = W.partitionBy("lk") if m == 1 else W.partitionBy("lk", "hi", F.shiftright("lo", BITS))  # as many rows as the alphabet at most
+        left = sum((F.sum((n == i).cast("long")).over(after) * F.col(f"d{i}") for i in (1, 2)), F.sum((n > 2).cast("long")).over(after) * F.col("d3"))
+        total = F.sum("n").over(after)
+        rows = tables[m].join(stored(rare, "discounts"), "lk").select("lk", "hi", "lo", ((n - own) / total).alias("own"), (left / total).alias("left"), F.count("*").over(after).alias("symbols"))
+        if p is None:
+            p = rows.select("lk", "hi", "lo", (F.col("own") + F.col("left") / F.col("symbols")).alias("p"))
+        else:
+            hi, lo = _shorter(m)
+            lower = p.select("lk", F.col("hi").alias("s_hi"), F.col("lo").alias("s_lo"), F.col("p").alias("lower"))
+            rows = rows.withColumns({"s_hi": hi, "s_lo": lo}).join(lower, ["lk", "s_hi", "s_lo"])
+            p = rows.select("lk", "hi", "lo", (F.col("own") + F.col("left") * F.col("lower")).alias("p"))
+        p = stored(p, f"p-{m}")
+    return p
+
+
+def base_statistics(text: str | None, words: np.ndarray) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text and its words' hashes."""
     if not text:
         return 0, 0, 0, 0, 0
     data = text.encode("utf-8", "surrogatepass")
-    words = hashed_words(text)
     word_chars = len(text) - (len(data) - len(data.translate(None, WHITE)))
     n_symbols = len(data) - len(data.translate(None, b"#*$%&|<>"))
     lines = [line for line in data.split(b"\n") if line.strip(WHITE)]
@@ -194,39 +187,100 @@ def base_statistics(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), word_chars, n_symbols, len(lines) - len(set(lines)), repeated
 
 
-def score(docs: DataFrame, model: dict[int, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """doc_id, lang, the base statistics and log_perplexity of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def scored(pdf: pd.DataFrame, keys: np.ndarray, logs: np.ndarray) -> pd.DataFrame:
+    """doc_id, lk, the base statistics and the mean log-perplexity a word of each row, given the model as a sorted array."""
+    languages = pdf["lk"].to_numpy()
+    total = np.zeros(len(pdf))
+    words: list[list[np.ndarray]] = [[] for _ in range(len(pdf))]
+    for text, hashes, begin, end, data in word_groups(pdf["text"]):
+        if not len(hashes):
+            continue
+        first, of, _ = distinct_words(languages[text], hashes)
+        points = symbols(data, begin[first], end[first])
+        ends = np.flatnonzero(points == END)
+        lang = np.repeat(languages[text][first], np.diff(ends, prepend=-1))
+        at = np.searchsorted(keys, xxhash_longs(lang.view(np.uint64), *grams(points)))
+        each = np.add.reduceat(logs[at].astype(float), np.concatenate([[0], ends[:-1] + 1]))
+        total += np.bincount(text, each[of], minlength=len(pdf))
+        cuts = np.flatnonzero(np.diff(text, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
+            words[text[a]].append(hashes[a:b])
+    none = np.zeros(0, np.uint64)
+    every = [w[0] if len(w) == 1 else np.concatenate(w) if w else none for w in words]
+    out = pd.DataFrame([base_statistics(t, w) for t, w in zip(pdf["text"], every, strict=True)], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+    out.insert(0, "doc_id", pdf["doc_id"].array)
+    out["lk"] = languages
+    n = out["n_words"].to_numpy()
+    out["log_perplexity"] = pd.array(np.round(-total / np.maximum(n, 1), 6), dtype="Float64")
+    out.loc[n == 0, "log_perplexity"] = pd.NA
+    return out
+
+
+_SCORED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lk long, log_perplexity double"
+
+
+def score(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """doc_id, the base statistics, lk and log_perplexity of every row; model: (lk, hi, lo, p) of all n-grams of docs."""
+    rows = docs.select("doc_id", F.xxhash64("lang").alias("lk"), "text")
+    model = model.select("lk", "hi", "lo", F.xxhash64("lk", "hi", "lo").alias("key"), F.log("p").cast("float").alias("log"))
+    if model.count() > BROADCAST_GRAMS:
+        return _score_by_blocks(rows, model)
+    pdf = model.select("key", "log").toPandas()  # counted above
+    keys, logs = pdf["key"].to_numpy().view(np.uint64), pdf["log"].to_numpy()
+    order = np.argsort(keys)
+    sent = docs.sparkSession.sparkContext.broadcast((keys[order], logs[order]))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = {k: KneserNey(*arrays) for k, arrays in sent.value.items()}
         worker_cache("quality_rules")
         for pdf in batches:
-            rows, logs = [], []
-            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                rows.append(base_statistics(text))
-                known = models.get(language_class(lang))
-                logs.append(known.mean_log_perplexity(text) if text and known else None)
-            out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
-            out.insert(0, "doc_id", pdf["doc_id"].array)
-            out["lang"] = pdf["lang"].array
-            out["log_perplexity"] = pd.array(logs, dtype="Float64")
-            yield out
+            yield scored(pdf, *sent.value)
+
+    return rows.mapInPandas(run, _SCORED)
+
+
+def _score_by_blocks(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """Documents dealt into blocks; each block's distinct n-grams, counted once more, fetch their log-probabilities."""
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]  # one number
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1)))
+
+    def wanted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for block, part in pdf.groupby("block"):
+                for found in _counted([part]):
+                    yield found.drop(columns="n").assign(block=block)
+
+    grams_ = dealt.mapInPandas(wanted, "lk long, hi long, lo long, block long").distinct()
+    answers = grams_.join(model, ["lk", "hi", "lo"]).select("block", "key", "log")
+
+    def run(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        keys, logs = found["key"].to_numpy().view(np.uint64), found["log"].to_numpy()
+        order = np.argsort(keys)
+        return scored(part.reset_index(drop=True), keys[order], logs[order])
+
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, _SCORED)
+
 
-    return docs.select("doc_id", "lang", "text").mapInPandas(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lang string, log_perplexity double")
+def _quartiles(rows: DataFrame, value: Column, step: float) -> DataFrame:
+    """(lk, q1, q2, q3) of a value in steps; counts of equal steps first, so a language's rows are as many as its steps."""
+    bins = rows.groupBy("lk", F.round(value / step).cast("long").alias("bin")).agg(F.count("*").alias("m"))
+    before, every = F.sum("m").over(W.partitionBy("lk").orderBy("bin")), F.sum("m").over(W.partitionBy("lk"))
+    share = bins.select("lk", "bin", (before / every).alias("share"))
+    return share.groupBy("lk").agg(*((F.min(F.when(F.col("share") >= k / 4, F.col("bin"))) * step).alias(f"q{k}") for k in (1, 2, 3)))
 
 
 def rules(docs: DataFrame, reach: float = REACH, least: float = LEAST) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    scored = stored(score(docs, fit(docs)).withColumn("base_failed", failed), "scored", TEXTS)
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 1000).alias("q")
-    bands = scored.where("not base_failed and log_perplexity is not null").groupBy(F.col("lang").alias("_lang")).agg(quartiles)
-    low, middle, high = (F.col("q")[k] for k in range(3))
-    bands = bands.select("_lang", (middle - F.greatest(F.lit(least), reach * (middle - low))).alias("_low"), (middle + F.greatest(F.lit(least), reach * (high - middle))).alias("_high"))
-    out = scored.join(stored(bands, "bands"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("_low"), F.col("_high")), F.lit(False))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), "log_perplexity")
+    model = probabilities(stored(count_grams(docs), "grams", TEXTS))
+    rows = stored(score(docs, model).withColumn("base_failed", failed), "scored", TEXTS)
+    passed = rows.where("not base_failed and log_perplexity is not null")
+    middle = stored(_quartiles(passed, F.col("log_perplexity"), 0.001).select("lk", F.col("q2").alias("middle")), "middle")
+    apart = (F.col("log_perplexity") - F.col("middle")) * F.sqrt("n_words")
+    spread = stored(_quartiles(passed.join(middle, "lk"), apart, 0.01).select("lk", "q1", "q3"), "spread")
+    wide = lambda q: F.greatest(F.lit(least), reach * F.abs(F.col(q)) / F.sqrt("n_words"))
+    out = rows.join(middle, "lk", "left").join(spread, "lk", "left")
+    inside = F.col("log_perplexity").between(F.col("middle") - wide("q1"), F.col("middle") + wide("q3"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "log_perplexity")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

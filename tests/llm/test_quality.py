@@ -1,10 +1,12 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 
 from seqloom.llm import quality_classifier as clf
 from seqloom.llm import quality_rules as rules
+from seqloom.llm.common import hashed_words
 
 
 def corpus(passages, n):
@@ -67,17 +69,89 @@ def test_base_statistics(passages):
     rng = random.Random(1)
     texts = [None, "", " \n", "a a a a", "x y z x y z", "l\nl\n\nl \n", "é# 日本 <b>\x0b* x", "\x1c a\x85b"] + ["".join(rng.choice("ab \n#日") for _ in range(rng.randint(0, 80))) for _ in range(300)]
     for t in texts:
-        assert rules.base_statistics(t) == statistics(t), repr(t)
+        assert rules.base_statistics(t, hashed_words(t)) == statistics(t), repr(t)
 
 
-def test_model_is_a_distribution():
-    found = np.concatenate([rules.grams(t) for t in ("the cat sat on the mat. " * 9, "a dog in the fog. " * 7, "ünï 日本")])
-    keys, n = np.unique(found, return_counts=True)
-    model = rules.KneserNey(keys, n)
-    for context in {int(k) >> rules.BITS for k in keys[::7]} | {0, 999}:
-        p = np.exp(model.log_probabilities((np.int64(context) << rules.BITS) + np.arange(rules.MASK + 1)))
-        assert math.isclose(p.sum(), 1, rel_tol=1e-6) and (p > 0).all()
-    assert model.mean_log_perplexity("the cat in the fog.") < model.mean_log_perplexity("qzx vwj kkq xxz")
+def kneser_ney(texts):
+    """Probability of each 5-gram of symbols in marked words, by the definition, with dictionaries."""
+    top = Counter()
+    for t in texts:
+        for w in (t or "").split():
+            s = ["^"] * 4 + [*w, "$"]
+            top.update(tuple(s[i - 4 : i + 1]) for i in range(4, len(s)))
+    tables = {5: top}
+    for m in range(5, 1, -1):
+        tables[m - 1] = Counter(g[1:] for g in tables[m])
+    p = {}
+    for m in range(1, 6):
+        t = tables[m]
+        k = Counter(min(c, 4) if c < 4 else c for c in t.values())
+        d = {1: 0.5, 2: 0.75, 3: 0.9}
+        if k[1] and k[2] and k[3]:
+            y = k[1] / (k[1] + 2 * k[2])
+            d = {i: min(max(i - (i + 1) * y * k[i + 1] / k[i], (0, 0.05, 0.1, 0.15)[i]), (0, 0.95, 1.9, 2.85)[i]) for i in (1, 2, 3)}
+        total, left, size = Counter(), Counter(), Counter()
+        for g, c in t.items():
+            total[g[:-1]] += c
+            left[g[:-1]] += d[min(c, 3)]
+            size[g[:-1]] += 1
+        for g, c in t.items():
+            lower = p[g[1:]] if m > 1 else 1 / size[()]
+            p[g] = (c - d[min(c, 3)]) / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * lower
+    return p
+
+
+def mean_log_perplexity(text, p):
+    words = (text or "").split()
+    marked = [["^"] * 4 + [*w, "$"] for w in words]
+    logs = [math.log(p[tuple(w[i : i + 5])]) for w in marked for i in range(len(w) - 4)]
+    return -sum(logs) / len(words) if words else None
+
+
+def test_model_and_scores_against_brute_force(docs_of, passages, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for i in range(120):
+        lang = rng.choice(["en", "de", None, ""])
+        text = " ".join(rng.choice(passages(k % 5, 40).split()) for k in range(rng.randint(0, 90))) + rng.choice(["", " ünï 日本😀 x", "\n\tEND!!"])
+        rows.append((i, rng.choice([text, text, text, None, ""]), lang, "s"))
+    models = {lang: kneser_ney([t for _, t, x, _ in rows if x == lang]) for lang in ("en", "de", None, "")}
+    docs = docs_of(rows)
+    for limit in (rules.BROADCAST_GRAMS, 0):
+        monkeypatch.setattr(rules, "BROADCAST_GRAMS", limit)
+        monkeypatch.setattr(rules, "BLOCK", 10_000)
+        model = rules.probabilities(rules.count_grams(docs))
+        got = {r.doc_id: r.log_perplexity for r in rules.score(docs, model).collect()}
+        for i, t, lang, _ in rows:
+            want = mean_log_perplexity(t, models[lang])
+            assert got[i] is None if want is None else math.isclose(got[i], want, abs_tol=2e-5), (i, got[i], want)
+
+
+def test_long_texts_and_many_grams(docs_of, passages, monkeypatch):
+    monkeypatch.setattr(rules, "HELD", 50)
+    texts = [passages(1, 120_000), passages(2, 10), "x" * 600_000]
+    docs = docs_of([(i, t, "en", "s") for i, t in enumerate(texts)])
+    p = kneser_ney(texts)
+    got = {r.doc_id: r.log_perplexity for r in rules.score(docs, rules.probabilities(rules.count_grams(docs))).collect()}
+    assert all(math.isclose(got[i], mean_log_perplexity(t, p), rel_tol=1e-5) for i, t in enumerate(texts))
+
+
+def test_kept_by_definition_and_again(docs_of, passages):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(passages(k % 9, 50).split()) for k in range(rng.randint(30, 200))), "en", "s") for i in range(150)]
+    rows += [(200 + i, " ".join(w + "%%%" for w in passages(i, 60).split()), "en", "s") for i in range(4)]
+    got = {r.doc_id: r for r in rules.rules(docs_of(rows, 2)).collect()}
+    assert got == {r.doc_id: r for r in rules.rules(docs_of(rows, 7)).collect()}
+    ok = [r for r in got.values() if not r.base_failed]
+    at = lambda values, k: sorted(values)[-(-k * len(values) // 4) - 1]
+    middle = at([r.log_perplexity for r in ok], 2)
+    apart = [(r.log_perplexity - middle) * math.sqrt(r.n_words) for r in ok]
+    low, high = abs(at(apart, 1)), abs(at(apart, 3))
+    for r in got.values():
+        d, root = r.log_perplexity - middle, math.sqrt(r.n_words)
+        edge = max(rules.LEAST, rules.REACH * (high if d > 0 else low) / root)
+        if abs(abs(d) - edge) > 0.1:
+            assert r.kept == (not r.base_failed and abs(d) < edge)
 
 
 def test_bands(docs_of):
