@@ -83,16 +83,29 @@ def grams(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed[3] | packed[4], packed[0] | packed[1] | packed[2]
 
 
-def distinct_words(languages: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first place, number of each word, count) of the distinct words of a group, by language."""
-    _, first, of, count = np.unique(hashes ^ mixed(languages.view(np.uint64)), return_index=True, return_inverse=True, return_counts=True)
-    return first, of, count
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each value, first place of each number): equal values share a number."""
+    of, distinct = pd.factorize(values)
+    first = np.empty(len(distinct), np.int64)
+    first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
+    return of, first
+
+
+def distinct_words(languages: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word, first place of each number) of the distinct words of a group, by language."""
+    return _numbered(hashes ^ mixed(languages.view(np.uint64)))
+
+
+def distinct_grams(lang: np.ndarray, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of n-grams, given as language, hi and lo."""
+    h = (hi * _PRIME[0]) ^ lang.view(np.uint64)
+    return _numbered((h ^ (h >> np.uint64(31))) * _PRIME[1] + lo * _PRIME[2])
 
 
 def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Counts of equal n-grams (language, hi, lo, n) added up."""
-    lang, hi, lo, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    _, first, of = np.unique(xxhash_longs(lang.view(np.uint64), hi, lo), return_index=True, return_inverse=True)
+    lang, hi, lo, n = (np.concatenate(x) for x in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
+    of, first = distinct_grams(lang, hi, lo)
     return lang[first], hi[first], lo[first], np.bincount(of, n).astype(np.int64)
 
 
@@ -108,7 +121,8 @@ def _counted(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, words, begin, end, data in word_groups(pdf["text"]):
             if not len(words):
                 continue
-            first, _, count = distinct_words(languages[text], words)
+            of, first = distinct_words(languages[text], words)
+            count = np.bincount(of)
             points = symbols(data, begin[first], end[first])
             word = np.concatenate([[0], np.cumsum(points == END)[:-1]])
             held.append(_added([(languages[text][first][word], *grams(points), count[word])]))
@@ -162,7 +176,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
         else:
             hi, lo = _shorter(m)
             lower = p.select("lk", F.col("hi").alias("s_hi"), F.col("lo").alias("s_lo"), F.col("p").alias("lower"))
-            rows = rows.withColumns({"s_hi": hi, "s_lo": lo}).join(lower, ["lk", "s_hi", "s_lo"])
+            rows = rows.withColumns({"s_hi": hi, "s_lo": lo}).join(lower.hint("shuffle_hash"), ["lk", "s_hi", "s_lo"])  # not by the driver
             p = rows.select("lk", "hi", "lo", (F.col("own") + F.col("left") * F.col("lower")).alias("p"))
         p = stored(p, f"p-{m}")
     return p
@@ -195,12 +209,14 @@ def scored(pdf: pd.DataFrame, keys: np.ndarray, logs: np.ndarray) -> pd.DataFram
     for text, hashes, begin, end, data in word_groups(pdf["text"]):
         if not len(hashes):
             continue
-        first, of, _ = distinct_words(languages[text], hashes)
+        of, first = distinct_words(languages[text], hashes)
         points = symbols(data, begin[first], end[first])
         ends = np.flatnonzero(points == END)
         lang = np.repeat(languages[text][first], np.diff(ends, prepend=-1))
-        at = np.searchsorted(keys, xxhash_longs(lang.view(np.uint64), *grams(points)))
-        each = np.add.reduceat(logs[at].astype(float), np.concatenate([[0], ends[:-1] + 1]))
+        hi, lo = grams(points)
+        gram, where = distinct_grams(lang, hi, lo)
+        at = np.searchsorted(keys, xxhash_longs(lang[where].view(np.uint64), hi[where], lo[where]))
+        each = np.add.reduceat(logs[at].astype(float)[gram], np.concatenate([[0], ends[:-1] + 1]))
         total += np.bincount(text, each[of], minlength=len(pdf))
         cuts = np.flatnonzero(np.diff(text, prepend=-1))
         for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
@@ -225,8 +241,8 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
     model = model.select("lk", "hi", "lo", F.xxhash64("lk", "hi", "lo").alias("key"), F.log("p").cast("float").alias("log"))
     if model.count() > BROADCAST_GRAMS:
         return _score_by_blocks(rows, model)
-    pdf = model.select("key", "log").toPandas()  # counted above
-    keys, logs = pdf["key"].to_numpy().view(np.uint64), pdf["log"].to_numpy()
+    table = model.select("key", "log").toArrow()  # counted above
+    keys, logs = table["key"].to_numpy().view(np.uint64), table["log"].to_numpy()
     order = np.argsort(keys)
     sent = docs.sparkSession.sparkContext.broadcast((keys[order], logs[order]))
 
