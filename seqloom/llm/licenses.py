@@ -81,34 +81,41 @@ def bands_for(k: int, window: int, found: dict[str, list[str]]) -> int:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, text_col: str = "text") -> DataFrame:
-    """doc_id, license, containment (the best window's), first_word (index of its first shingle's first word, the least)."""
+    """doc_id, license, containment (the best window's), first_word (index of its first shingle's first word, the least).
+
+    One pass over the texts: those with a screen word of a length group go on once for each such group. Other columns
+    aren't read. Rows that share a doc_id are one document: the best window of any of them counts; a null doc_id is one
+    document too. Null and empty texts hold no notice; equal containments tie for the smaller first_word.
+    """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", ascii_lower(F.col(text_col)).alias("_text"))
-    parts = []
+    cases, known = [], []
     for k, window, found in groups(templates):
         n_bands = bands_for(k, window, found)
         must = sorted({w for words in found.values() for w in screen_words(words, k)})
-        some = rows.where(reduce(lambda a, b: a | b, [F.contains("_text", F.lit(w)) for w in must]))
-        words = F.filter(F.split(F.regexp_replace("_text", "[^a-z0-9]+", " "), " "), lambda w: w != "")
-        some = some.select("doc_id", words.alias("_words")).where(F.size("_words") >= k)
-        # a window starts at each multiple of half its length that a shingle follows
-        starts = F.sequence(F.lit(0), F.size("_words") - k, F.lit(window // 2))
-        some = some.select("doc_id", "_words", F.explode(starts).alias("_start"))
-        some = some.select("doc_id", "_start", F.slice("_words", F.col("_start") + 1, window).alias("_w"))
-        shingle = F.transform(F.sequence(F.lit(1), F.size("_w") - (k - 1)), lambda i: F.array_join(F.slice("_w", i, k), " "))
-        some = some.where(F.size("_w") >= k).select("doc_id", "_start", shingle.alias("_shingles"))
-        band = lambda shingles: F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda b: F.array_min(F.transform(shingles, lambda s: F.xxhash64(b, s))))
-        known = spark.createDataFrame([(name, shingles_of(w, k)) for name, w in found.items()], "license string, _template array<string>")
-        known = known.select("license", "_template", F.posexplode(band(F.col("_template"))).alias("_band", "_min"))
-        seen = some.select("doc_id", "_start", "_shingles", F.posexplode(band(F.col("_shingles"))).alias("_band", "_min"))
-        hits = seen.join(F.broadcast(known), ["_band", "_min"])  # templates and bands are fixed
-        both = F.array_intersect("_template", "_shingles")
-        share = F.size(both) / F.size("_template")
-        first = F.array_min(F.transform(both, lambda s: F.array_position("_shingles", s))) - 1 + F.col("_start")
-        hits = hits.select("doc_id", "license", share.alias("containment"), first.alias("first_word")).where(F.col("containment") >= CONTAINED)
-        parts.append(hits)
-    best = reduce(DataFrame.unionAll, parts)
-    return best.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("first_word").cast("long").alias("first_word"))
+        some = reduce(lambda a, b: a | b, [F.contains("_text", F.lit(w)) for w in must])
+        cases.append(F.when(some, F.struct(F.lit(k).alias("k"), F.lit(window).alias("window"), F.lit(n_bands).alias("bands"))))
+        known += [(k, window, n_bands, name, shingles_of(w, k)) for name, w in found.items()]
+    # band b of some shingles: the least hash with b before it
+    band = lambda shingles, n: F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.array_min(F.transform(shingles, lambda s: F.xxhash64(b, s))))
+    table = spark.createDataFrame(known, "k int, window int, bands int, license string, _template array<string>")
+    table = table.select("k", "window", "license", "_template", F.posexplode(band(F.col("_template"), F.col("bands"))).alias("_band", "_min"))
+    rows = docs.select("doc_id", ascii_lower(F.col(text_col)).alias("_text"))
+    rows = rows.select("doc_id", "_text", F.explode(F.array_compact(F.array(*cases))).alias("_group")).select("doc_id", "_text", "_group.*")
+    words = F.filter(F.split(F.regexp_replace("_text", "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    # a window starts at each multiple of half its length that a shingle follows
+    size, k = F.size("_words"), F.col("k")
+    starts = F.when(size >= k, F.sequence(F.lit(0), size - k, F.expr("window div 2")))
+    rows = rows.select("doc_id", "k", "window", "bands", words.alias("_words")).select("*", F.explode(starts).alias("_start"))
+    rows = rows.withColumn("_w", F.slice("_words", F.col("_start") + 1, F.col("window"))).drop("_words")
+    shingle = F.transform(F.sequence(F.lit(1), F.size("_w") - (k - 1)), lambda i: F.array_join(F.slice("_w", i, k), " "))
+    rows = rows.select("doc_id", "k", "window", "bands", "_start", shingle.alias("_shingles"))
+    seen = rows.select("doc_id", "k", "window", "_start", "_shingles", F.posexplode(band(F.col("_shingles"), F.col("bands"))).alias("_band", "_min"))
+    hits = seen.join(F.broadcast(table), ["k", "window", "_band", "_min"])  # templates and bands are fixed
+    both = F.array_intersect("_template", "_shingles")
+    share = F.size(both) / F.size("_template")
+    first = F.array_min(F.transform(both, lambda s: F.array_position("_shingles", s))) - 1 + F.col("_start")
+    hits = hits.select("doc_id", "license", share.alias("containment"), first.alias("first_word")).where(F.col("containment") >= CONTAINED)
+    return hits.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.min("first_word").cast("long").alias("first_word"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -234,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     none = F.lit(None).cast("int")
     sample = known.unionByName(free.select("doc_id", none.alias("low"), none.alias("toxic")))
     rows = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])  # labelled + pool rows at most
-    pdf = rows.mapInPandas(_featured, "doc_id long, low int, toxic int, text binary, meta binary").toPandas().sort_values("doc_id")
+    pdf = rows.mapInPandas(_featured, "doc_id long, low int, toxic int, text binary, meta binary").toArrow().to_pandas().sort_values("doc_id")
     if not len(pdf):
         return {q: None for q in QUESTIONS}
     text = [np.frombuffer(b, np.int32) for b in pdf["text"]]

@@ -26,6 +26,17 @@ def test_odd_rows(odd, clashing, none):
     assert op.scan(odd).count() == op.scan(clashing).count() == op.scan(none).count() == 0
 
 
+def test_hits_in_odd_rows(docs_of, passages):
+    """Repeated rows, a null doc_id, a very long text, ties of windows and clashing columns."""
+    from pyspark.sql import functions as F
+
+    mit, long = op.TEMPLATES["mit"], passages(4, 40_000)
+    rows = [(1, mit, "en", "a"), (1, mit, "en", "a"), (None, mit, "en", "a"), (2, f"{long} {mit} {long}", None, None), (3, f"{mit} x {mit}", "en", "a"), (4, None, "en", "a"), (5, "", "en", "a")]
+    docs = docs_of(rows).withColumns({c: F.lit(7) for c in ("k", "window", "bands", "license", "_text", "_words", "_group", "_start")})
+    got = {r.doc_id: (r.license, r.containment, r.first_word) for r in op.scan(docs).collect() if r.license == "mit"}
+    assert got == {1: ("mit", 1, 0), None: ("mit", 1, 0), 2: ("mit", 1, 40_000), 3: ("mit", 1, 0)}
+
+
 def test_screen_loses_nothing():
     for k, _, found in op.groups(op.TEMPLATES):
         for words in found.values():

@@ -20,6 +20,48 @@ def test_stages(spark):
     assert sorted(map(repr, cp.run(spark, SF).collect())) == sorted(map(repr, last.collect()))
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_each_stage_against_brute_force(spark):
+    """Each stage on what the one before kept, with what it must keep, cut or take found by plain loops."""
+    from seqloom.llm import line_dedup
+    from tests.llm import test_line_dedup, test_mixing, test_near_dedup
+
+    rows = lambda df: {r.doc_id: r for r in df.collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    before, kept = rows(docs), cp.stored(cp.quality(spark, docs, SF), "kept")
+    after = rows(kept)
+    assert all(before[i] == r for i, r in after.items())
+    good = [i for i, r in labels.items() if r.quality == 1 and r.toxic == 0]
+    assert sum(i not in after for i in good) <= 0.02 * len(good)
+
+    cut = cp.stored(cp.lines(spark, kept, SF), "cut")
+    left = rows(cut)
+    want = test_line_dedup.brute([(i, r.text) for i, r in after.items()])
+    copies = {r.doc_id for r in line_dedup.line_dedup(kept).collect() if r.is_copy}
+    for i, words in want.items():  # copies of a whole document are left to the next stage
+        assert i in copies or (left[i].text.split() if i in left else []) == words
+
+    alone = cp.stored(cp.near(spark, cut, SF), "alone")
+    want = test_near_dedup.brute([(i, r.text) for i, r in left.items()], cp.SIMILARITY)
+    single = rows(alone)
+    assert set(single) == {i for i, (_, c) in want.items() if i == c} and all(left[i] == r for i, r in single.items())
+
+    mixed = cp.stored(cp.mixed(spark, alone, SF), "mixed")
+    sizes, taken = {}, {}
+    for r in single.values():
+        sizes[r.source] = sizes.get(r.source, 0) + len(words_of(r.text))
+    for r in mixed.collect():
+        words = words_of(r.text)
+        assert words == words_of(single[r.doc_id].text)[: len(words)]
+        taken[r.source] = taken.get(r.source, 0) + len(words)
+    for source, target in test_mixing.shares(sizes).items():
+        assert abs(taken.get(source, 0) - target) <= test_mixing.op.BLOCK
+
+    out = cp.encoded(spark, mixed, SF).collect()
+    assert len(out) == mixed.count() and all(r.round_trip and r.n_pieces == len(r.piece_ids or ()) for r in out)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_odd_rows_pass_each_stage(spark, clashing, none):
     for df in (clashing, none):
