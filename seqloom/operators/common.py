@@ -124,6 +124,21 @@ def new_by_keys(batch: DataFrame, existing: DataFrame, *key_sets: Sequence[str])
     return batch
 
 
+def contains_join(texts: DataFrame, text: Column, pieces: DataFrame, piece: str) -> DataFrame:
+    """Pairs of a row and each piece that its text holds (an empty piece is in every text, a null in none).
+
+    An equi-join: texts are cut into substrings of the pieces' lengths, so work grows with the texts and not with the
+    number of pieces. Lengths in use are few; a text's distinct substrings of one length are found once.
+    """
+    table = pieces.withColumn("_n", F.length(piece))
+    lengths = F.broadcast(table.agg(F.array_sort(F.collect_set("_n")).alias("_lengths")))  # one row
+    cut = lambda n: F.when(n == 0, F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(1), F.length("_text") - n + 1), lambda i: F.substring("_text", i, n)))
+    fitting = F.filter("_lengths", lambda n: n <= F.length("_text"))
+    found = F.explode(F.array_distinct(F.flatten(F.transform(fitting, cut))))
+    rows = texts.withColumn("_text", text).crossJoin(lengths).withColumn(piece, found).drop("_text", "_lengths")
+    return rows.join(table.drop("_n"), piece)
+
+
 def same_set(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """One row: only_a, only_b, and whether the two sets of keys are equal."""
     x, y = a.select(key).distinct(), b.select(key).distinct()

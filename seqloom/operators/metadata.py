@@ -38,6 +38,71 @@ def by_rules(rules: Sequence[Rule], *sources: str) -> Column:
     return F.coalesce(*found, F.lit(""))
 
 
+@dataclass(frozen=True)
+class Annotation:
+    """A column found by rules in source columns, one after another; ``unless``: a source and values that bar it as one."""
+
+    column: str
+    rules: Sequence[Rule]
+    sources: Sequence[str]
+    unless: tuple[str, Sequence[str]] | None = None
+
+
+#: Columns that a curator fills later, empty at first; fixed names.
+TO_FILL = ("KEEP", "UNIQUE", "CHECKED", "name", "not_unique")
+
+
+def annotate(df: DataFrame, annotations: Sequence[Annotation], title: str, knock_out_pattern: str, study: str, order: Sequence[Column]) -> DataFrame:
+    """df with the annotation columns, CONDITION and GENE of knock-outs, replicates numbered, and empty columns to fill.
+
+    Later annotations may look into the columns of earlier ones. A knock-out's CONDITION is KO whatever the rules find; a
+    library without type that names an inhibitor is a footprint library. Replicates are numbered anew in the studies that
+    need it, if any title repeats at all. Sources that df lacks are left out.
+    """
+    for a in annotations:
+        found = []
+        for s in (c for c in a.sources if c in df.columns):
+            value = F.coalesce(*(F.when(F.col(s).rlike(r.pattern), r.value) for r in a.rules))
+            barred = F.col(s).isin(*a.unless[1]) if a.unless and a.unless[0] == s else F.lit(False)
+            found.append(F.when(~barred, value))
+        df = df.withColumn(a.column, F.coalesce(*found, F.lit("")))
+    hit = F.coalesce(F.col(title).rlike(knock_out_pattern), F.lit(False))
+    gene = F.when(hit, F.regexp_replace(F.col(title), knock_out_pattern, "")).otherwise("")
+    condition = F.when(hit, "KO").otherwise(F.col("CONDITION") if "CONDITION" in df.columns else F.lit(""))
+    df = df.withColumns({"GENE": gene, "CONDITION": condition})
+    if {"LIBRARYTYPE", "INHIBITOR"} <= set(df.columns):
+        df = df.withColumn("LIBRARYTYPE", F.when((F.col("LIBRARYTYPE") == "") & (F.col("INHIBITOR") != ""), "RFP").otherwise(F.col("LIBRARYTYPE")))
+    if "REPLICATE" in df.columns:
+        repeats = df.where(F.col(title).isNotNull()).groupBy(title).count().where("count > 1")
+        df = df if repeats.isEmpty() else renumber_replicates(df, study, title, "REPLICATE", order)
+    return df.withColumns({c: F.lit("") for c in TO_FILL})
+
+
+def merged_curation(curated: DataFrame, table: DataFrame, key: str = "Run") -> DataFrame:
+    """The table of all runs with a curator's rows in place of its own; new ones are added, columns that a side lacks are null."""
+    kept = table.join(curated.select(key).distinct(), key, "left_anti")
+    return curated.unionByName(kept, allowMissingColumns=True)
+
+
+def invalid_rows(df: DataFrame, keys: Sequence[str], parts: Sequence[str], order: Sequence[Column], library_types: Sequence[str]) -> DataFrame:
+    """Rows to keep that can't run, with their reasons: an unknown library type, or a name that an earlier row of the keys has."""
+    kept = df.where(F.coalesce(F.col("KEEP").cast("boolean"), F.lit(False))).withColumn("name", sample_name(df, parts))
+    kept = flag_repeats(kept, keys, "name", order)
+    unknown = ~F.coalesce(F.col("LIBRARYTYPE").isin(*library_types), F.lit(False))
+    reasons = F.array_compact(F.array(F.when(unknown, "library type"), F.when(F.col("not_unique"), "name")))
+    return kept.withColumn("reasons", reasons).where(F.size("reasons") > 0)
+
+
+def curation_loop(load, validate, rounds: int = 10):
+    """(valid, last invalid rows): a curator's table is loaded and validated again until it has no invalid rows."""
+    bad = None
+    for _ in range(rounds):
+        bad = validate(load())
+        if bad.isEmpty():
+            return True, bad
+    return False, bad
+
+
 def knock_out(df: DataFrame, title: str, pattern: str) -> DataFrame:
     """condition KO, and the gene that the title names beside the pattern, where the title has it."""
     hit = F.col(title).rlike(pattern)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import basename, dirname, extension, half_even, paste, sentence_case, sub_first
 from seqloom.operators import metadata as m
-from seqloom.operators.common import add_if_absent, drop_constant_columns, drop_null_columns, first_per_key, new_by_keys, numbered, ordered_lookup, same_set, union_fill
+from seqloom.operators.common import add_if_absent, contains_join, drop_constant_columns, drop_null_columns, first_per_key, new_by_keys, numbered, ordered_lookup, same_set, union_fill
 from seqloom.plans.common import Registry, Tables
 
 registry = Registry()
@@ -47,6 +47,41 @@ def metadata_annotate_rules(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", m.by_rules(RULES, "p_name", "p_type").alias("kind"))
 
 
+ANNOTATIONS = [
+    m.Annotation("TISSUE", [m.Rule("(?i)^cold", "liver"), m.Rule("(?i)^small", "brain")], ["p_name", "p_type"]),
+    m.Annotation("INHIBITOR", [m.Rule("(?i)bolt", "chx")], ["p_name"]),
+    m.Annotation("LIBRARYTYPE", [m.Rule("(?i)widget", "RNA"), m.Rule("(?i)promo", "SSU")], ["p_name", "absent", "p_type"], ("p_type", ["PROMO"])),
+    m.Annotation("CONDITION", [m.Rule("(?i)large", "WT")], ["p_name"]),
+    m.Annotation("REPLICATE", [m.Rule("(?i)gear", "1")], ["p_name"]),
+]
+
+
+@registry.query("""
+WITH x AS (SELECT *, CASE WHEN regexp_matches(p_name, '(?i)^cold') THEN 'liver' WHEN regexp_matches(p_name, '(?i)^small') THEN 'brain' WHEN regexp_matches(p_type, '(?i)^cold') THEN 'liver' WHEN regexp_matches(p_type, '(?i)^small') THEN 'brain' ELSE '' END AS tissue,
+  CASE WHEN regexp_matches(p_name, '(?i)bolt') THEN 'chx' ELSE '' END AS inhibitor,
+  CASE WHEN regexp_matches(p_name, '(?i)widget') THEN 'RNA' WHEN regexp_matches(p_name, '(?i)promo') THEN 'SSU'
+    WHEN p_type <> 'PROMO' AND regexp_matches(p_type, '(?i)widget') THEN 'RNA' WHEN p_type <> 'PROMO' AND regexp_matches(p_type, '(?i)promo') THEN 'SSU' ELSE '' END AS lib,
+  regexp_matches(p_name, ' g.*') AS ko, CASE WHEN regexp_matches(p_name, '(?i)gear') THEN '1' ELSE '' END AS rep, count(*) OVER (PARTITION BY p_brand, p_name) > 1 AS dup FROM part),
+n AS (SELECT *, bool_or(dup) OVER s OR bool_and(rep = '') OVER s AS needs FROM x WINDOW s AS (PARTITION BY p_brand))
+SELECT p_partkey, tissue, inhibitor, CASE WHEN lib = '' AND inhibitor <> '' THEN 'RFP' ELSE lib END AS library_type, CASE WHEN ko THEN 'KO' WHEN regexp_matches(p_name, '(?i)large') THEN 'WT' ELSE '' END AS condition,
+  CASE WHEN ko THEN regexp_replace(p_name, ' g.*', '') ELSE '' END AS gene,
+  CASE WHEN needs AND (SELECT count(*) > count(DISTINCT p_name) FROM part) THEN CAST(row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey) AS VARCHAR) ELSE rep END AS replicate FROM n""")
+def annotate_runs(t: Tables) -> DataFrame:
+    out = m.annotate(t.part, ANNOTATIONS, "p_name", " g.*", "p_brand", [F.col("p_partkey")])
+    names = {"TISSUE": "tissue", "INHIBITOR": "inhibitor", "LIBRARYTYPE": "library_type", "CONDITION": "condition", "GENE": "gene", "REPLICATE": "replicate"}
+    return out.select("p_partkey", *(F.col(k).alias(v) for k, v in names.items()))
+
+
+@registry.query("""
+WITH c AS (SELECT p_partkey, p_name, CASE WHEN p_size % 2 = 0 THEN 'RFP' ELSE 'SSU' END AS lib, p_brand || '_' || p_name AS name FROM part WHERE p_partkey % 3 <> 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY p_name, name ORDER BY p_partkey) > 1 AS again FROM c)
+SELECT p_partkey, concat_ws('+', CASE WHEN lib <> 'RFP' THEN 'library type' END, CASE WHEN again THEN 'name' END) AS reasons FROM f WHERE lib <> 'RFP' OR again""")
+def invalid_runs(t: Tables) -> DataFrame:
+    df = t.part.withColumns({"KEEP": F.col("p_partkey") % 3 != 0, "LIBRARYTYPE": F.when(F.col("p_size") % 2 == 0, "RFP").otherwise("SSU")})
+    bad = m.invalid_rows(df, ["p_name"], ["p_brand", "p_name"], [F.col("p_partkey")], ["RFP", "RNA"])
+    return bad.select("p_partkey", F.array_join("reasons", "+").alias("reasons"))
+
+
 @registry.query("""
 SELECT p_partkey, CASE WHEN regexp_matches(p_name, '[_ #]?1[0-9]*$') THEN 'KO' ELSE '' END AS condition,
   CASE WHEN regexp_matches(p_name, '[_ #]?1[0-9]*$') THEN trim(regexp_replace(p_name, '[_ #]?1[0-9]*$', '')) ELSE '' END AS gene FROM part""")
@@ -167,6 +202,12 @@ def study_file_match(t: Tables) -> DataFrame:
     return pages.join(t.nation, F.col("k") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("study")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("page_id")), lambda x: x.cast("string")), ",").alias("files"))
 
 
+@registry.query("SELECT p_partkey, r_name FROM part JOIN region ON contains(upper(p_name), substr(r_name, 2, 1))")
+def substring_join(t: Tables) -> DataFrame:
+    short = t.region.select("r_name", F.substring("r_name", 2, 1).alias("piece"))
+    return contains_join(t.part, F.upper("p_name"), short, "piece").select("p_partkey", "r_name")
+
+
 @registry.query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def files_missing(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey").join(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")

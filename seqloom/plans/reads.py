@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.functions import approximate_positions, codons, digit_total, percent, strip_ends, subseq_safe
-from seqloom.operators import reads
+from seqloom.operators import demultiplexing, reads
 from seqloom.operators.common import numbered
 from seqloom.plans.common import Registry, Tables
 
@@ -275,3 +275,19 @@ SELECT source, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM doc
 def reads_per_source(t: Tables) -> DataFrame:
     n = t.documents.groupBy("source").agg(F.count("*").alias("n"))
     return n.withColumn("percent", percent(F.col("n"), F.sum("n").over(W.partitionBy())))
+
+
+@registry.query("""
+WITH c AS (SELECT unnest(['th', 'an', 'er', 'on']) AS barcode, unnest([1, 2, 1, 2]) AS pool),
+k AS (SELECT lang AS lane, barcode, pool FROM (SELECT DISTINCT lang FROM documents), c),
+h AS (SELECT lang AS lane, text, instr(substr(text, 13), 'tion') AS p FROM documents),
+b AS (SELECT lane, substr(text, 1, p + 11) AS x FROM h WHERE p > 0),
+r AS (SELECT lane, right(x, 2) AS barcode, CASE WHEN length(x) - 2 > 5 THEN substr(x, 3, length(x) - 7) ELSE '' END AS seq FROM b)
+SELECT 'pool' || pool AS sample, seq, count(*) AS n FROM r JOIN k USING (lane, barcode) GROUP BY 1, 2""")
+def demultiplex_pools(t: Tables) -> DataFrame:
+    barcodes = t.spark.createDataFrame([("th", 1), ("an", 2), ("er", 1), ("on", 2)], "barcode string, pool int")
+    lanes = t.documents.select(F.col("lang").alias("lane")).distinct().crossJoin(F.broadcast(barcodes))
+    control = lanes.select("lane", "barcode", F.concat_ws("-", "lane", "barcode").alias("sample"), F.concat(F.lit("pool"), F.col("pool").cast("string")).alias("final_sample"))
+    reads_ = t.documents.select(F.col("lang").alias("lane"), F.col("text").alias("seq"))
+    found = demultiplexing.assign(reads_, control, "tion", five=2, three=3, least=6, mismatches=0)
+    return demultiplexing.collapsed(found, control)

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom import streaming
-from seqloom.operators import runtime
+from seqloom.operators import runner, runtime
 from seqloom.operators.common import shared_dir
 from seqloom.plans.common import Registry, Tables
 
@@ -174,3 +174,18 @@ def windowed_event_counts(t: Tables) -> DataFrame:
     counts = streaming.windowed_counts(stream, "ts", "1 hour", "10 minutes", ["event_type"])
     found = streaming.landed(counts, ["window", "event_type"], folder(t, "windows"), folder(t, "windows-state"))
     return found.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@registry.query("""
+SELECT CAST(n_nationkey AS VARCHAR) AS unit, CASE WHEN n_nationkey % 7 = 0 THEN 1 ELSE 3 END::BIGINT AS progress_index, n_nationkey % 7 <> 0 AS finished, CASE WHEN n_nationkey % 7 = 0 THEN 'count' END AS failed_step FROM nation""")
+def pipeline_session(t: Tables) -> DataFrame:
+    project = runner.Project(t.spark, folder(t, "project"))
+    units = t.nation.select(F.col("n_nationkey").cast("string").alias("unit"))
+
+    def count(spark, unit: str) -> None:
+        if int(unit) % 7 == 0:
+            raise ValueError(f"nothing to count in {unit}")
+
+    steps = {"start": lambda spark, unit: None, "count": count, "report": lambda spark, unit: None}
+    runner.run(project, [r["unit"] for r in units.collect()], steps)  # the units of a session: a short list by nature
+    return runner.report(project, units, list(steps)).drop("message")

@@ -12,6 +12,13 @@ def source(spark: SparkSession, folder: str, schema: T.StructType, files_a_batch
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def fastq_source(spark: SparkSession, folder: str, files_a_batch: int = 1) -> DataFrame:
+    """(read_id, seq) of new FASTQ files of a folder, a few a batch; records are cut as in ``sources.fastq_sequences``."""
+    parts = spark.readStream.format("text").option("lineSep", "\n+\n").option("maxFilesPerTrigger", files_a_batch).load(folder)
+    head, seq = (F.regexp_extract("value", r"(?:^|\n)@([^\n]*)\n([^\n]+)$", k) for k in (1, 2))
+    return parts.select(head.alias("read_id"), seq.alias("seq")).where("seq <> ''")
+
+
 def landed(counts: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
     """The latest n of each key of a stream of counts, each batch's changed keys landed with its number.
 
