@@ -1,13 +1,16 @@
 """Personal data: overlapping candidate spans, boosted trees over format and context, calibrated thresholds.
 
 All on DataFrame functions. High-recall generators (regular expressions, possessive or anchored, so linear in the text)
-propose spans of four kinds. The base generators' matches that pass their checks always stay. The other candidates (local
-phone numbers, cards in groups, IPv6 addresses, obfuscated addresses, and base matches that fail) get a score by
+propose spans of four kinds of personal data and of secrets (keys and tokens). The base generators' matches that pass their checks always stay. The other candidates (local
+phone numbers, cards in groups or beside each other, IPv6 addresses, obfuscated addresses, long mixed strings, and base
+matches that fail) get a score by
 gradient-boosted trees over features of the span and of the 30 characters before it; those above their kind's threshold
 that overlap no base span are added. Trees are small, trained here on seeded, generated spans (``training_spans``) and
 compiled to CASE expressions; a kind's threshold is the lowest score with 99% precision on generated spans held out.
 
-Nulls: a null text counts as empty and has no spans. Positions are code points, the end exclusive.
+Nulls: a null text counts as empty and has no spans. Positions are code points, the end exclusive. Rows are judged each for
+itself, repeated ones too; matches that tie for a place can't be, since a generator's are leftmost and don't overlap, and
+equal spans of two generators count once. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import documents
 
 KINDS = ("email", "ip", "card", "phone")
+#: With what only the trees can add.
+ALL_KINDS = (*KINDS, "secret")
 #: Base patterns; starts are anchored to the begin of a run or to the last match's end, which finds the same matches.
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -37,11 +42,12 @@ BASE = {
 MORE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?(?:at|AT) ?[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(] ?(?:dot|DOT) ?[\])]) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{13,19})(?![0-9])",
     "phone": r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-]|00[0-9]{1,3}[ .-][0-9]{2,4}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}",
 }
 #: What a text must contain for a kind's generators to run at all.
-NEEDS = {"email": r"@|[\[(] ?(?:at|AT) ?[\])]", "ip": r"[0-9A-Fa-f][.:][0-9A-Fa-f]", "card": "[0-9]", "phone": "[0-9]"}
+NEEDS = {"email": r"@|[\[(] ?(?:at|AT) ?[\])]", "ip": r"[0-9A-Fa-f][.:][0-9A-Fa-f]", "card": "[0-9]", "phone": "[0-9]", "secret": "[0-9]"}
 AROUND = 30
 PRECISION = 0.99
 TREES, RATE, DEPTH = 40, 0.3, 2
@@ -93,7 +99,7 @@ def luhn_python(digits: str) -> bool:
 
 
 FEATURES = (
-    *(Feature(f"is_{k}", lambda kind, v, b, a, k=k: F.lit(int(kind == k)), lambda kind, v, b, a, k=k: float(kind == k)) for k in KINDS),
+    *(Feature(f"is_{k}", lambda kind, v, b, a, k=k: F.lit(int(kind == k)), lambda kind, v, b, a, k=k: float(kind == k)) for k in ALL_KINDS),
     _left("n_digits", "[^0-9]"),
     _left("n_separators", "[^ .()/_-]"),
     _left("n_colons", "[^:]"),
@@ -110,6 +116,9 @@ FEATURES = (
     _has("says_card", "before", r"(?i)\b(?:card|visa|mastercard|amex|credit|debit|paid)\b"),
     _has("says_address", "before", r"(?i)\b(?:ip|ipv6|host|server|address|from)\b"),
     _has("says_mail", "before", r"(?i)\b(?:mail|email|e-mail|contact|write|reach)\b"),
+    _has("hexadecimal", "value", r"^(?:[0-9a-f]{20,}|[0-9A-F]{20,})$"),
+    _has("path_like", "value", r"/.*/|[_-].*[_-]"),
+    _has("says_secret", "before", r"(?i)(?:token|secret|passw|pwd|api|key|auth|bearer|credential)[a-z_]*[\"']?\s*(?:[:=]|is)?\s*[\"']?$"),
     _has("says_number", "before", r"(?i)\b(?:order|invoice|id|no|number|version|part|isbn|ref|serial|ticket)\b"),
 )
 
@@ -132,7 +141,7 @@ def training_spans(n: int, seed: int) -> list[tuple[str, str, str, str, int]]:
 
     out = []
     for _ in range(n):
-        kind, good = rng.choice(KINDS), rng.random() < 0.5
+        kind, good = rng.choice(ALL_KINDS), rng.random() < 0.5
         before, after = rng.choice(plain), rng.choice([" ", ".", ",", " and", ""])
         if kind == "phone":
             area = rng.choice("23456789" if good else "01234567") + digits(2)
@@ -148,6 +157,17 @@ def training_spans(n: int, seed: int) -> list[tuple[str, str, str, str, int]]:
             d = card(good)
             value = sep.join(d[i : i + 4] for i in range(0, 16, 4)) if good or rng.random() < 0.5 else d
             before = rng.choice(["card ", "visa: ", *plain]) if good else rng.choice([*numbers, *plain, "card "])
+        elif kind == "secret":
+            letters = rng.choice(["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789+/"])
+            value = "".join(rng.choice(letters) for _ in range(rng.choice([24, 32, 40, 64])))
+            said = rng.choice(["token", "api_key", "secret", "password", "Authorization", "ACCESS_KEY", "client_secret"])
+            if good:
+                before = rng.choice(plain) + said + rng.choice([" = ", ": ", "=", '": "', ' = "', " is "])
+                after = rng.choice(['"', " ", ";", "", "!"])
+            else:
+                before = rng.choice([*numbers, *plain, "commit ", "sha256 ", "etag: ", "build "])
+                if rng.random() < 0.5:
+                    value = rng.choice(["section-", "img/", "chapter_"]) + "-".join(rng.choice(["alpha", "v2", "page", "2024", "draft", "index"]) for _ in range(4))
         elif kind == "ip":
             if good:
                 value = ":".join(f"{rng.randrange(65536):x}" for _ in range(8))
@@ -211,7 +231,7 @@ def trained(seed: int = SEED) -> tuple[tuple, dict[str, float]]:
     x, y = _matrix(held)
     score = RATE * sum(_value(t, x) for t in trees)
     kinds, thresholds = np.array([s[0] for s in held]), {}
-    for kind in KINDS:
+    for kind in ALL_KINDS:
         s, good = score[kinds == kind], y[kinds == kind]
         order = np.argsort(-s)
         precision = np.cumsum(good[order]) / np.arange(1, len(order) + 1)
@@ -275,16 +295,19 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     trees, thresholds = trained()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cols = {}
-    for kind in KINDS:
+    own = "_"
+    while any(c.lower().startswith(own) for c in docs.columns):  # helper columns get names that docs doesn't have
+        own = "_" + own
+    cols, none = {}, F.array().cast(SPAN)
+    for kind in ALL_KINDS:
         needed = text.rlike(NEEDS[kind])
-        none = F.array().cast(SPAN)
-        cols[f"_all_{kind}"] = F.when(needed, matches(text, BASE[kind])).otherwise(none)
-        cols[f"_more_{kind}"] = F.when(text.rlike(MORE[kind]) & needed, matches(text, MORE[kind])).otherwise(none)
+        if kind in KINDS:
+            cols[f"{own}all_{kind}"] = F.when(needed, matches(text, BASE[kind])).otherwise(none)
+        cols[f"{own}more_{kind}"] = F.when(needed & text.rlike(MORE[kind]), matches(text, MORE[kind])).otherwise(none)
     df = docs.drop("base", "spans").withColumns(cols)
-    df = df.withColumns({f"_base_{k}": F.filter(f"_all_{k}", passing(k)) for k in KINDS})
+    df = df.withColumns({f"{own}base_{k}": F.filter(f"{own}all_{k}", passing(k)) for k in KINDS})
     tagged = lambda kind, spans: F.transform(spans, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
-    df = df.withColumn("base", F.concat(*(tagged(k, F.col(f"_base_{k}")) for k in KINDS)))
+    df = df.withColumn("base", F.concat(*(tagged(k, F.col(f"{own}base_{k}")) for k in KINDS)))
 
     def added(kind: str) -> Column:
         def chosen(x: Column) -> Column:
@@ -293,14 +316,18 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
             clear = ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
             return F.when(clear, scored(kind, x["value"], before, after, trees) >= thresholds[kind]).otherwise(False)
 
-        failed = F.filter(f"_all_{kind}", lambda x: ~passes(kind, x["value"]) & (F.length(x["value"]) <= 64) & (F.length(x["value"]) >= 7))
-        spans = F.concat(F.col(f"_more_{kind}"), failed)
-        return F.when(F.size(spans) > 0, F.filter(spans, chosen)).otherwise(F.array().cast(SPAN))
+        spans = F.col(f"{own}more_{kind}")
+        if kind in KINDS:
+            fits = lambda x: (F.length(_digits(x["value"])) <= 19) if kind == "card" else F.lit(True)
+            failed = F.filter(f"{own}all_{kind}", lambda x: ~passes(kind, x["value"]) & F.length(x["value"]).between(7, 64) & fits(x))
+            spans = F.concat(spans, failed)
+        return F.when(F.size(spans) > 0, F.filter(spans, chosen)).otherwise(none)
 
-    df = df.withColumns({f"_added_{k}": added(k) for k in KINDS})
+    df = df.withColumns({f"{own}added_{k}": added(k) for k in ALL_KINDS})
     by_start = lambda spans: F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["end"] - b["end"]))
-    all_of = lambda k: F.when(F.size(f"_added_{k}") > 0, by_start(F.concat(f"_base_{k}", f"_added_{k}"))).otherwise(F.col(f"_base_{k}"))
-    df = df.withColumn("spans", F.concat(*(tagged(k, F.array_distinct(all_of(k))) for k in KINDS)))
+    base_of = lambda k: F.col(f"{own}base_{k}") if k in KINDS else none
+    all_of = lambda k: F.when(F.size(f"{own}added_{k}") > 0, by_start(F.concat(base_of(k), f"{own}added_{k}"))).otherwise(base_of(k))
+    df = df.withColumn("spans", F.concat(*(tagged(k, F.array_distinct(all_of(k))) for k in ALL_KINDS)))
     return df.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("base", "spans")), "base", "spans")
 
 
@@ -324,10 +351,12 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email to n_phone and base_sha256 (base spans), spans (all of the four kinds), secrets (keys and tokens), n_found (all of both)."""
     found = find(documents(spark, sf_dir).select("doc_id", "text"))
-    of = lambda kind: lambda x: x["kind"] == kind
+    of = lambda *kinds: lambda x: x["kind"].isin(*kinds)
     counts = [F.size(F.filter("base", of(k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    spans, secrets = (joined(F.filter("spans", of(*kinds))) for kinds in (KINDS, ["secret"]))
+    return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"), secrets.alias("secrets"), F.size("spans").cast("long").alias("n_found"))
 
 
 QUERIES = {"op7_pii": op7_pii}

@@ -81,3 +81,36 @@ def test_odd_rows(odd, clashing, none):
 def test_no_python_on_the_main_path(odd):
     plan = op.find(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_secrets_and_cards_beside_each_other(docs_of):
+    cards = "7536784127813050 4111111111111111"
+    texts = ['x token = "908038b7daaf91e730d2f64001c52934d43d9336" y', "commit 908038b7daaf91e730d2f64001c52934d43d9336 y", f"pay {cards} now", "see section-alpha-v2-draft-index-page here", "TOKEN = \"9233A8ECF7C5B09FE5949719B6B82BC439E9329B\"!!"]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.spans] for r in op.find(docs_of(texts)).collect()}
+    assert got[0] == [("secret", "908038b7daaf91e730d2f64001c52934d43d9336")] and got[4] == [("secret", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B")]
+    assert got[1] == got[3] == [] and got[2] == [("card", c) for c in cards.split() if op.luhn_python(c)]
+
+
+def test_query_against_brute_force_on_tables(spark):
+    """Base columns by plain matching; what the trees add, on texts that their training never saw."""
+    import hashlib
+    import os
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in op.op7_pii(spark, sf).collect():
+        base = brute(texts[r.doc_id])
+        assert [r[f"n_{k}"] for k in op.KINDS] == [sum(b[0] == k for b in base) for k in op.KINDS]
+        said = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(said).encode()).hexdigest()
+        every = [x for x in r.spans.split(",") if x]
+        assert set(said) <= set(every) and r.n_found == len(every) + len([x for x in r.secrets.split(",") if x])
+        for x in set(every) - set(said):  # added: a card whose digits pass, beside another number
+            kind, a, b = x.split(":")
+            assert kind == "card" and op.luhn_python(re.sub("[^0-9]", "", texts[r.doc_id][int(a) : int(b)]))
+        planted = {f"secret:{m.start(1)}:{m.end(1)}" for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', texts[r.doc_id])}
+        assert planted == {x for x in r.secrets.split(",") if x}
+    clean = spark.read.parquet(f"{sf}/benchmark.parquet").select("text").unionByName(spark.read.parquet(f"{sf}/conversations.parquet").select("text"))
+    assert op.find(clean).where("size(spans) > size(base)").count() == 0
