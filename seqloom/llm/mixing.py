@@ -80,7 +80,8 @@ def targets(sources: DataFrame, most: int = MOST) -> DataFrame:
 def plan(docs: DataFrame, keep: tuple[str, ...] = (), block: int = BLOCK, per_shard: int = PER_SHARD, most: int = MOST, seed: int = SEED) -> DataFrame:
     """One row a document: doc_id, size, source_size, target (its source's), taken (words, repeats counted), then ``keep`` as _k_<name>."""
     extra = [F.col(f"`{c}`").alias(f"_k_{c}") for c in keep]
-    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), *extra)
+    # _key tells rows of one doc_id apart, and spreads those without one
+    sizes = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("_key"), *extra)
     if not keep:
         sizes = stored(sizes, "sizes")
     sources = stored(targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), most), "sources")
@@ -94,7 +95,7 @@ def plan(docs: DataFrame, keep: tuple[str, ...] = (), block: int = BLOCK, per_sh
     sources = sources.groupBy(F.lit("all")).applyInPandas(quotas, "source string, source_size long, target double, quota long")
     sources = stored(sources.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / per_shard))), "quotas")
     sharded = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    sharded = sharded.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("n_shards")))
+    sharded = sharded.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.coalesce("doc_id", "_key")), F.col("n_shards")))
 
     def of_shards(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard")
@@ -107,7 +108,7 @@ def plan(docs: DataFrame, keep: tuple[str, ...] = (), block: int = BLOCK, per_sh
     shards = stored(shards.groupBy("source").applyInPandas(of_shards, "source string, shard long, words long, blocks long"), "shards")
     same = sharded["source"].eqNullSafe(shards["source"]) & (sharded["shard"] == shards["shard"])
     rows = sharded.join(shards, same).drop(shards["source"], shards["shard"])
-    order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "size")
+    order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), F.coalesce("doc_id", "_key")), "doc_id", "size", "_key")
     rows = rows.withColumn("_end", F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)))
     wanted = F.least(F.col("blocks") * block, most * F.col("words"))
     rest = F.when(F.col("words") > 0, wanted % F.col("words")).otherwise(F.lit(0))

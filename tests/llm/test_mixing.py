@@ -91,3 +91,9 @@ def test_odd_rows(odd, clashing, none):
     assert op.plan(odd).count() == odd.count()
     assert sorted(map(repr, (tuple(r)[:5] for r in op.mix(clashing).select("doc_id", "text", "lang", "source", "n_chars").collect()))) == sorted(map(repr, map(tuple, op.mix(odd).collect())))
     assert op.plan(none).count() == op.mix(none).count() == 0
+
+
+def test_rows_of_one_id_and_of_none_in_any_partitioning(docs_of, passages):
+    rows = [(1, passages(k, 50), "en", "a") for k in range(30)] + [(None, passages(100 + k, 50), "en", "a") for k in range(30)] + [(k, passages(200 + k, 40), "en", "b") for k in range(2, 60)]
+    got = [sorted(map(repr, op.mix(docs_of(rows, parts)).collect())) for parts in (1, 5)]
+    assert got[0] == got[1]
