@@ -11,7 +11,8 @@ A document is kept unless its probability of low quality or of being toxic reach
 
 Nulls: a null text counts as empty, a null source or language is a value of its own, a null label leaves its question open.
 Without labels of both kinds for a question, its probability is 0 for all. Labels of one doc_id that differ: the lower
-quality and the toxic one count.
+quality and the toxic one count. Rows that share a doc_id are scored each for itself; one of them is fitted. Columns named
+p_low, p_toxic and kept are replaced, others are kept.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ distinct marked words of a batch are sorted into a trie and walked depth-first w
 (``bpe_trie``). The public model's scores are merge ranks, so the forward state is the last token of the prefix's
 encoding rather than a sum of unigram log-probabilities, which would give other ids than the model's own.
 
-Nulls and empty texts encode to no ids and decode to an empty text. Ids, and texts decoded from them, equal those of
+Nulls and empty texts encode to no ids and decode to an empty text. Repeated rows are encoded each for itself. Ids, and texts decoded from them, equal those of
 the sentencepiece library.
 """
 

@@ -6,7 +6,9 @@ depth-first), each shared prefix's forward state is computed once, and the count
 The public vocabularies are merge ranks, not unigram models: a state is the last token of the prefix's encoding with its
 number of tokens (``bpe_trie``), since unigram scores would count other tokens than the vocabulary's encoder makes.
 
-Nulls and empty texts count 0 tokens. Special tokens' strings are ordinary text. Counts equal those of the tiktoken library.
+Nulls and empty texts count 0 tokens. Special tokens' strings are ordinary text. Repeated rows are counted each for itself;
+a text has one encoding, so there are no ties (of two possible merges the lower rank goes first, then the left one).
+Counts equal those of the tiktoken library.
 """
 
 from __future__ import annotations
@@ -78,7 +80,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY_FILE, text_col: s
     with open(vocabulary, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())  # about 1 MB, whatever the input
     names = [c for c in (docs.columns if keep is None else keep) if c != out_col]
-    rows = docs.select(*names, *([text_col] if text_col not in names else []))
+    rows = docs.select(*(F.col(f"`{c}`") for c in [*names, *([text_col] if text_col not in names else [])]))
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out_col, T.LongType())])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -48,3 +48,12 @@ def test_caches_stay_bounded():
     for k in range(20):
         list(c.encode([" ".join(f"word{k}x{i}" for i in range(40))]))
         assert len(c.known) <= 50
+
+
+def test_column_names_with_dots_and_repeated_rows(docs_of):
+    from pyspark.sql import functions as F
+
+    from seqloom.llm import token_counts
+
+    out = token_counts.token_counts(docs_of([(1, "a text", "en", "s"), (1, "a text", "en", "s")]).withColumn("a.b", F.lit(1))).collect()
+    assert len(out) == 2 and len({r.n_tokens for r in out}) == 1 and all(r["a.b"] == 1 for r in out)
