@@ -7,12 +7,14 @@ import gc
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -220,6 +222,13 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(_BATCH, before)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: T.StructType | str) -> DataFrame:
+    """``mapInPandas`` for columns of any name: Spark itself takes a dot in a name for a field of a struct."""
+    names = df.columns
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain.mapInPandas(lambda batches: run(pdf.set_axis(names, axis=1) for pdf in batches), schema)
+
+
 def stored(df: DataFrame, name: str, batch: int = NUMBERS) -> DataFrame:
     """df, written once to the shared folder and read back: a cut of the lineage that survives lost executors.
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TEXTS, documents, hashed_texts, hashed_words, mixed, powers, rolled, small_batches, stored, worker_cache
+from .common import TEXTS, documents, hashed_texts, hashed_words, map_batches, mixed, powers, rolled, small_batches, stored, worker_cache
 
 GRAM, WINDOW, LEAST = 16, 35, 50
 #: Words before a fingerprint that a run around it can reach.
@@ -479,7 +479,7 @@ def line_dedup(docs: DataFrame, leave_copies: bool = True) -> DataFrame:
             yield out[schema.names]
 
     whole = joined.where(F.col(f"{own}_starts").isNull()).select(*(f"`{c}`" for c in names), F.lit(0).cast("long").alias("n_cut"), F.lit(False).alias("is_copy"))
-    return whole.unionAll(joined.where(F.col(f"{own}_starts").isNotNull()).mapInPandas(run, schema))
+    return whole.unionAll(map_batches(joined.where(F.col(f"{own}_starts").isNotNull()), run, schema))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

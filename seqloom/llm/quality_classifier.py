@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, small_batches, worker_cache
+from .common import documents, map_batches, small_batches, worker_cache
 
 LABELLED, POOL, SEED = 8_000, 3_000, 5
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 1_000
@@ -271,7 +271,7 @@ def score(docs: DataFrame, models: dict[str, Model | None], reject: float = REJE
                     p[q] = _sigmoid(p[q])
             yield pdf[names].assign(p_low=p["low"], p_toxic=p["toxic"], kept=(p["low"] < reject) & (p["toxic"] < reject))
 
-    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInPandas(run, schema)
+    return map_batches(docs.select(*(F.col(f"`{c}`") for c in names)), run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents, small_batches, worker_cache
+from .common import documents, map_batches, small_batches, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -204,7 +204,7 @@ def encode(docs: DataFrame, model: str = MODEL, text_col: str = "text", ids_col:
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(ids_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
-    return keep.mapInPandas(lambda batches: encoded(batches, _codec(sent.value, remember), text_col, ids_col), schema)
+    return map_batches(keep, lambda batches: encoded(batches, _codec(sent.value, remember), text_col, ids_col), schema)
 
 
 def round_trips(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED) -> DataFrame:
@@ -222,7 +222,7 @@ def round_trips(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED)
             pdf["round_trip"] = [(text or "") == codec.decode(ids) for text, ids in zip(pdf["text"], pdf["piece_ids"], strict=True)]
             yield pdf
 
-    return keep.mapInPandas(run, schema)
+    return map_batches(keep, run, schema)
 
 
 def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text_col: str = "decoded", remember: int = REMEMBERED) -> DataFrame:
@@ -230,7 +230,7 @@ def decode(docs: DataFrame, model: str = MODEL, ids_col: str = "piece_ids", text
     sent = _model(docs.sparkSession, model)
     keep = docs.drop(text_col)
     schema = T.StructType([*keep.schema.fields, T.StructField(text_col, T.StringType())])
-    return keep.mapInPandas(lambda batches: decoded(batches, _codec(sent.value, remember), ids_col, text_col), schema)
+    return map_batches(keep, lambda batches: decoded(batches, _codec(sent.value, remember), ids_col, text_col), schema)
 
 
 def digest(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED) -> DataFrame:

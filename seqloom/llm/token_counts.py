@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe_trie import TrieBpe
-from .common import documents, small_batches, worker_cache
+from .common import documents, map_batches, small_batches, worker_cache
 
 VOCABULARY_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: White space as in Unicode's property (the pattern's \s).
@@ -91,7 +91,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY_FILE, text_col: s
                 out += counter.count(pdf[text_col].iloc[at : at + 500])
             yield pdf[names].assign(**{out_col: out})
 
-    return rows.mapInPandas(run, schema)
+    return map_batches(rows, run, schema)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,10 +50,14 @@ def test_caches_stay_bounded():
         assert len(c.known) <= 50
 
 
-def test_column_names_with_dots_and_repeated_rows(docs_of):
+def test_column_names_with_dots_and_repeated_rows(spark, docs_of):
     from pyspark.sql import functions as F
 
-    from seqloom.llm import token_counts
+    from seqloom.llm import line_dedup, quality_classifier, sentencepiece_codec, token_counts
 
-    out = token_counts.token_counts(docs_of([(1, "a text", "en", "s"), (1, "a text", "en", "s")]).withColumn("a.b", F.lit(1))).collect()
-    assert len(out) == 2 and len({r.n_tokens for r in out}) == 1 and all(r["a.b"] == 1 for r in out)
+    docs = docs_of([(1, "a text", "en", "s"), (1, "a text", "en", "s")]).withColumn("a.b", F.lit(1))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    coded = sentencepiece_codec.round_trips(docs)
+    for out in (token_counts.token_counts(docs), coded, sentencepiece_codec.decode(sentencepiece_codec.encode(docs)), line_dedup.line_dedup(docs), quality_classifier.classify(docs, labels)):
+        rows = out.collect()
+        assert len(rows) == 2 and rows[0] == rows[1] and all(r["a.b"] == 1 and r.text == "a text" for r in rows)
