@@ -5,6 +5,7 @@ A unit is (accession, organism) or any key; flags are rows (unit, step). Nothing
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -101,15 +102,15 @@ class StepRegistry:
         return df
 
 
-def retry(action: Callable, times: int = 3, wait: float = 0.5):
-    """The action's result; after a failure it is tried again, with growing pauses."""
+def retry(action: Callable, times: int = 3, wait: float = 0.5, spread: float = 0.0):
+    """The action's result; after a failure it is tried again, with growing pauses, longer by a random share up to ``spread``."""
     for k in range(times):
         try:
             return action()
         except Exception:
             if k == times - 1:
                 raise
-            time.sleep(wait * 2**k)
+            time.sleep(wait * 2**k * (1 + random.uniform(0, spread)))
 
 
 def first_success(*actions: Callable):
@@ -138,6 +139,15 @@ def set_flags(flags: DataFrame, units: DataFrame, steps: Sequence[str], known: S
     return flags.select("unit", "step").unionByName(new).distinct()
 
 
+def remove_flags(flags: DataFrame, units: DataFrame, steps: Sequence[str], known: Sequence[str]) -> DataFrame:
+    """flags without these steps of these units; unknown steps are an error, ``["all"]`` is every step."""
+    steps = known if list(steps) == ["all"] else steps
+    if missing := set(steps) - set(known):
+        raise ValueError(f"no such steps: {sorted(missing)}")
+    gone = units.select("unit").distinct().withColumn("step", F.explode(F.array(*map(F.lit, steps))))
+    return flags.join(gone, ["unit", "step"], "left_anti").select("unit", "step")
+
+
 def still_progressing(updates: DataFrame, unit: str, ts: str, now, hours: float) -> DataFrame:
     """Units with hours since their last update and whether that is below the limit. now: a timestamp column or literal."""
     last = updates.groupBy(unit).agg(F.max(ts).alias("last_update"))

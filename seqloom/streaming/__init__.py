@@ -52,3 +52,14 @@ def append_then_compact(stream: DataFrame, keys: list[str], out: str, checkpoint
 def windowed_counts(stream: DataFrame, ts: str, width: str, late: str, keys: list[str]) -> DataFrame:
     """Counts by event-time window; rows later than ``late`` behind the newest are dropped."""
     return stream.withWatermark(ts, late).groupBy(F.window(ts, width), *keys).agg(F.count("*").alias("n"))
+
+
+def polled(stream: DataFrame, put, checkpoint: str, seconds: float = 100):
+    """The running query that calls put(batch, number) on what is new every so many seconds; the caller stops it."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put).trigger(processingTime=f"{seconds} seconds").start()
+
+
+def batch_progress(query, spark: SparkSession) -> DataFrame:
+    """(batch, rows, at) of a query's recent batches, for views that are refreshed while it runs."""
+    done = [(p["batchId"], p["numInputRows"], p["timestamp"]) for p in query.recentProgress]  # Spark keeps the last 100
+    return spark.createDataFrame(done, "batch long, rows long, at string").withColumn("at", F.to_timestamp("at"))
