@@ -89,7 +89,9 @@ SELECT user_id AS unit, max(ts) AS last_update, date_diff('second', max(ts), any
 def last_update_by_unit(t: Tables) -> DataFrame:
     newest = t.events.agg(F.max("ts").alias("newest"))
     x = t.events.groupBy(F.col("user_id").alias("unit")).agg(F.max("ts").alias("last_update")).crossJoin(F.broadcast(newest))  # newest: one row
-    return x.select("unit", "last_update", F.expr("timestampdiff(SECOND, last_update, newest) div 3600").alias("hours_ago"))
+    # Whole seconds of the two clocks, as date_diff counts: the elapsed time has one less where the fraction is larger before.
+    second = lambda c: f"cast(cast({c} - timestamp_ntz'0001-01-01 00:00:00' as interval second) as bigint)"
+    return x.select("unit", "last_update", F.expr(f"({second('newest')} - {second('last_update')}) div 3600").alias("hours_ago"))
 
 
 @registry.query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
