@@ -20,9 +20,11 @@ PAIRS = 300_000
 class TrieBpe:
     """ranks: token (str or bytes) -> rank. A single item that is no token stands alone and merges with nothing."""
 
-    def __init__(self, ranks: dict):
+    def __init__(self, ranks: dict, pairs: int = PAIRS):
         self.ranks = ranks
+        self.pairs = pairs
         self._fits: dict = {}
+        self._own = {token: token for token in ranks}
         lengths: dict = {}
         for token in ranks:
             lengths.setdefault(token[-2:], set()).add(len(token))
@@ -48,8 +50,10 @@ class TrieBpe:
         key = (left, right)
         found = self._fits.get(key)
         if found is None:
-            if len(self._fits) >= PAIRS:
+            if len(self._fits) >= self.pairs:
                 self._fits.clear()
+            # The pairs that stay hold the tokens of ranks, not the pieces of words just met: half the memory.
+            key = (self._own.get(left, left), self._own.get(right, right))
             found = self._fits[key] = self.merged(left + right) == ([left, right] if left else [right])
         return found
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import math
 import tempfile
@@ -159,6 +160,13 @@ def _hashed(data: bytes, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray
 _CACHES: dict[str, dict] = {}
 
 
+def released() -> None:
+    """Memory that this process has freed goes back to the system, as far as its allocators can give it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def worker_cache(owner: str) -> dict:
     """A dict that lives in the Python worker between tasks of one operator.
 
@@ -167,7 +175,7 @@ def worker_cache(owner: str) -> dict:
     if owner not in _CACHES:
         _CACHES.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        released()
     return _CACHES.setdefault(owner, {})
 
 

@@ -22,13 +22,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .bpe_trie import TrieBpe
-from .common import documents, map_batches, small_batches, worker_cache
+from .bpe_trie import PAIRS, TrieBpe
+from .common import documents, map_batches, released, small_batches, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Marked words whose ids one worker remembers before it starts afresh (about 200 bytes each).
+#: Marked words whose ids one worker remembers before it starts afresh (about 200 bytes each). With fewer, its checked
+#: pairs (about 120 bytes each) are no more, and blocks of words are a fifth at most.
 REMEMBERED = 1_500_000
+#: Words of a block that shares one trie.
+BLOCK = 400_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -93,7 +96,7 @@ class PieceCodec:
         self.unknown = self.kinds.index(UNKNOWN)
         if len(self.bytes_) != 256:
             raise ValueError("the model has no byte fallback")
-        self.trie = TrieBpe({self.pieces[i]: -scores[i] for i in normal})
+        self.trie = TrieBpe({self.pieces[i]: -scores[i] for i in normal}, min(PAIRS, remember))
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers
         #: The text that a piece stands for, but for bytes of longer characters, unknown and control pieces.
         self.plain = {i: p if k == NORMAL else chr(int(p[3:5], 16)) for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == NORMAL or k == BYTE and int(p[3:5], 16) < 128}
@@ -117,15 +120,20 @@ class PieceCodec:
         return [found] if found is not None else [self.bytes_[b] for b in token.encode("utf-8", "surrogatepass")]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text. Words are looked up in blocks, so the trie is shared by many texts."""
+        """The ids of each text. Words are looked up in blocks, so the trie is shared by many texts; a text longer than a block takes several."""
+        most = min(BLOCK, max(1, self.remember // 5))
         block: list[list[str]] = []
         held = 0
         for text in texts:
-            block.append(self.marked(text) if text else [])
-            held += len(block[-1])
-            if held > 400_000:
+            words = self.marked(text) if text else []
+            if held + len(words) > most:
                 yield from self._block(block)
                 block, held = [], 0
+            if len(words) > most:
+                yield np.concatenate([ids for at in range(0, len(words), most) for ids in self._block([words[at : at + most]])])
+                continue
+            block.append(words)
+            held += len(words)
         yield from self._block(block)
 
     def _block(self, block: list[list[str]]) -> Iterator[np.ndarray]:
@@ -221,6 +229,7 @@ def round_trips(docs: DataFrame, model: str = MODEL, remember: int = REMEMBERED)
         for pdf in encoded(batches, codec, "text", "piece_ids"):
             pdf["round_trip"] = [(text or "") == codec.decode(ids) for text, ids in zip(pdf["text"], pdf["piece_ids"], strict=True)]
             yield pdf
+            released()
 
     return map_batches(keep, run, schema)
 

@@ -61,3 +61,29 @@ def test_column_names_with_dots_and_repeated_rows(spark, docs_of):
     for out in (token_counts.token_counts(docs), coded, sentencepiece_codec.decode(sentencepiece_codec.encode(docs)), line_dedup.line_dedup(docs), quality_classifier.classify(docs, labels)):
         rows = out.collect()
         assert len(rows) == 2 and rows[0] == rows[1] and all(r["a.b"] == 1 and r.text == "a text" for r in rows)
+
+
+def test_codec_remembers_no_more_than_told(passages):
+    """Caches stay within their bound, whatever a batch or one text holds; ids are those of a codec that forgets nothing."""
+    import numpy as np
+
+    from seqloom.llm import sentencepiece_codec as sc
+
+    with open(sc.MODEL, "rb") as f:
+        model = f.read()
+    texts = [*(passages(seed, 400) for seed in range(20)), passages(99, 6_000), "", None, " a  b ", "Ünï 日本 😀"]
+    small, large = sc.PieceCodec(model, 1_000), sc.PieceCodec(model)
+    got, want = list(small.encode(texts)), list(large.encode(texts))
+    assert len(got) == len(texts) and all(map(np.array_equal, got, want))
+    assert len(large.known) > 5_000 and len(small.known) <= 1_000 and len(small.trie._fits) <= 1_000
+    assert [small.decode(ids) for ids in got] == [t or "" for t in texts]
+
+
+def test_pairs_hold_the_tokens_of_the_ranks():
+    from seqloom.llm.bpe_trie import TrieBpe
+
+    ranks = {t: i for i, t in enumerate(["lo", "low", "er", "lower", "st"])}
+    trie = TrieBpe(ranks)
+    assert [t for _, t in trie.tokens(["lower", "lowest", "slower"])] == [["lower"], ["low", "e", "st"], ["s", "lower"]]
+    own = set(map(id, ranks))
+    assert all(id(t) in own for pair in trie._fits for t in pair if t in ranks)
