@@ -250,6 +250,16 @@ def stored(df: DataFrame, name: str, batch: int = NUMBERS) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> None:
+    """Broadcast tables and shuffles that nothing refers to any more go now, from the driver and the executors.
+
+    Spark drops them when the driver's JVM finds them in its garbage. Until then they, and the plans of queries that are
+    done, make its heap grow, and what it has once taken it keeps.
+    """
+    gc.collect()  # references that Python holds
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts_for(rows: int, per_part: int, spark: SparkSession) -> int:
     """Partitions so that each holds about per_part rows at most, and no fewer than the session's."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_part))

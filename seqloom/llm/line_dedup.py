@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TEXTS, documents, hashed_texts, hashed_words, map_batches, mixed, powers, rolled, small_batches, stored, worker_cache
+from .common import TEXTS, documents, hashed_texts, hashed_words, map_batches, mixed, powers, rolled, small_batches, stored, swept, worker_cache
 
 GRAM, WINDOW, LEAST = 16, 35, 50
 #: Words before a fingerprint that a run around it can reach.
@@ -319,7 +319,9 @@ def repeated_runs(docs: DataFrame, leave_copies: bool = False) -> DataFrame:
     prints = texts.mapInPandas(_fingerprints, _PRINTS)
     prints = stored(prints if few else stored(prints, "every", TEXTS).join(names, ["doc_id", "h"], "left_anti"), "prints", TEXTS)
     pairs = _pairs(texts, prints)
+    swept(docs.sparkSession)
     copied = _copies(pairs, texts, prints.select("doc_id", "n"))
+    swept(docs.sparkSession)
     first = copied.groupBy("doc_id", "h").agg(F.min(F.struct("first_id", "first_h")).alias("of"))
     both = pairs.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("runs")).alias("runs")).join(first, ["doc_id", "h"], "left")
     if leave_copies:

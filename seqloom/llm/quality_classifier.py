@@ -17,6 +17,7 @@ p_low, p_toxic and kept are replaced, others are kept.
 
 from __future__ import annotations
 
+import gc
 import math
 import zlib
 from collections import Counter
@@ -25,16 +26,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, map_batches, small_batches, worker_cache
+from .common import documents, map_batches, released, small_batches, worker_cache
 
 LABELLED, POOL, SEED = 8_000, 3_000, 5
 ROUNDS, SURE, PER_ROUND = 3, 0.97, 1_000
 REJECT = 0.5
 BITS = 18
+#: Rows whose features are counted at a time while the text view is fitted.
+BLOCK = 500
 #: Tokens that one Python worker remembers before it starts afresh.
 VOCABULARY = 150_000
 FEWEST, STRAY = 5, 4.0
@@ -111,23 +115,36 @@ def _descend(dot, back, n: int, y: np.ndarray, l2: float, steps: int) -> np.ndar
     return w
 
 
+def _blocks(rows: list[np.ndarray], y: np.ndarray, common: np.ndarray | None = None) -> Iterator[tuple]:
+    """(which of them are common, features, number and label of the row of each) of ``BLOCK`` rows at a time."""
+    for a in range(0, len(rows), BLOCK):
+        some = rows[a : a + BLOCK]
+        flat, count = np.concatenate(some), [len(r) for r in some]
+        owner = np.repeat(np.arange(a, a + len(some), dtype=np.int32), count)
+        yield None if common is None else common[flat], flat, owner, y[owner]
+
+
 def fit_text(rows: list[np.ndarray], y: np.ndarray, steps: int = 150) -> np.ndarray:
     """Weights of the text view (2**BITS of them).
 
     Only features whose documents' labels stray from the prior by ``STRAY`` standard deviations get a weight: with
     hundreds of thousands of rare words, the rest would let the model learn its documents by heart.
     """
-    flat = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    n = np.bincount(flat, minlength=1 << BITS)
+    n, ones = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS)
+    for _, flat, _, label in _blocks(rows, y):
+        n += np.bincount(flat, minlength=1 << BITS)
+        ones += np.bincount(flat, label, 1 << BITS)
     prior = y.mean()
-    stray = (np.bincount(flat, y[owner], 1 << BITS) - n * prior) / np.sqrt(n * prior * (1 - prior) + 1e-9)
+    stray = (ones - n * prior) / np.sqrt(n * prior * (1 - prior) + 1e-9)
     common = (n >= FEWEST) & (abs(stray) >= STRAY)
     common[0] = True
     number = np.cumsum(common, dtype=np.int32) - 1
-    keep = common[flat]
-    at, owner, size = number[flat[keep]], owner[keep], int(common.sum())
-    w = _descend(lambda w: np.bincount(owner, w[at], len(rows)), lambda r: np.bincount(at, r[owner], size), size, y, 1e-4, steps)
+    parts = [(number[flat[keep]], owner[keep]) for keep, flat, owner, _ in _blocks(rows, y, common)]
+    at, owner = (np.concatenate(x, dtype=np.intp) for x in zip(*parts, strict=True))
+    del parts
+    each = np.empty(len(at))  # one array for all steps
+    size = int(common.sum())
+    w = _descend(lambda w: np.bincount(owner, np.take(w, at, out=each, mode="clip"), len(rows)), lambda r: np.bincount(at, np.take(r, owner, out=each, mode="clip"), size), size, y, 1e-4, steps)
     out = np.zeros(1 << BITS, np.float32)
     out[common] = w
     return out
@@ -235,18 +252,37 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     none = F.lit(None).cast("int")
     sample = known.unionByName(free.select("doc_id", none.alias("low"), none.alias("toxic")))
     rows = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])  # labelled + pool rows at most
-    pdf = rows.mapInPandas(_featured, "doc_id long, low int, toxic int, text binary, meta binary").toArrow().to_pandas().sort_values("doc_id")
-    if not len(pdf):
+    try:
+        return _models(rows.mapInPandas(_featured, "doc_id long, low int, toxic int, text binary, meta binary").toArrow(), rounds)
+    finally:  # the driver keeps only the models
+        gc.collect()
+        released()
+
+
+def _models(table: pa.Table, rounds: int) -> dict[str, Model | None]:
+    """The models, from rows of ``_featured``; the table is let go before they are fitted."""
+    if not len(table):
         return {q: None for q in QUESTIONS}
-    text = [np.frombuffer(b, np.int32) for b in pdf["text"]]
+    ids = table["doc_id"].to_numpy()
+    order = np.argsort(ids, kind="stable")
     seen = np.zeros(1 << BITS, np.int32)
-    for row in text:
+    for row in _arrays(table["text"], np.int32):
         seen[row] += 1
-    text = [row[seen[row] >= FEWEST] for row in text]  # rarer ones get no weight
-    pdf = pdf.drop(columns="text")
-    meta = np.frombuffer(b"".join(pdf["meta"]), np.float32).reshape(len(pdf), N_META).astype(float)
-    held = np.array([zlib.crc32(str(i).encode()) % HELD_OUT == 0 for i in pdf["doc_id"]])
-    return {q: co_train(text, meta, pdf[q].fillna(-1).to_numpy().astype(int), held, rounds) for q in QUESTIONS}
+    text = [row[seen[row] >= FEWEST] for row in _arrays(table["text"], np.int32)]  # rarer ones get no weight
+    text = [text[i] for i in order]
+    meta = np.concatenate(list(_arrays(table["meta"], np.float32))).reshape(len(ids), N_META)[order].astype(float)
+    held = np.array([zlib.crc32(str(i).encode()) % HELD_OUT == 0 for i in ids[order]])
+    y = {q: table[q].fill_null(-1).to_numpy()[order].astype(int) for q in QUESTIONS}
+    del table
+    released()
+    return {q: co_train(text, meta, y[q], held, rounds) for q in QUESTIONS}
+
+
+def _arrays(column: pa.ChunkedArray, kind: type) -> Iterator[np.ndarray]:
+    """The numbers of each binary value, in place."""
+    for chunk in column.chunks:
+        for value in chunk:
+            yield np.frombuffer(value.as_buffer(), kind)
 
 
 def score(docs: DataFrame, models: dict[str, Model | None], reject: float = REJECT) -> DataFrame:

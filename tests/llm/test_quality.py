@@ -1,8 +1,11 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from seqloom.llm import quality_classifier as clf
 from seqloom.llm import quality_rules as rules
@@ -45,6 +48,38 @@ def test_pool_is_labelled_by_either_view(passages):
     assert clf.co_train(text, meta, np.where(y > 0, -1, y), held) is None
 
 
+def test_fitting_takes_little_memory():
+    """Features are counted by blocks of rows: no array over all of them, and the same weights."""
+    rng = np.random.default_rng(3)
+    y = (np.arange(6_000) % 3 == 0).astype(float)
+    rows = [np.unique(np.concatenate([[0, 7 + int(y[i])], rng.integers(100, 50_000, 600)])).astype(np.int32) for i in range(len(y))]
+    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n, ones = np.bincount(flat, minlength=1 << clf.BITS), np.bincount(flat, y[owner], 1 << clf.BITS)
+    far = abs(ones - n * y.mean()) / np.sqrt(n * y.mean() * (1 - y.mean()) + 1e-9) >= clf.STRAY
+    del flat, owner
+    tracemalloc.start()
+    w = clf.fit_text(rows, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6, peak  # 3.6 M features; arrays over all of them took 24 bytes each and more
+    assert w[7] < 0 < w[8] and not w[np.flatnonzero(~((n >= clf.FEWEST) & far))[1:]].any()
+    whole = []
+    for size in (7, 10_000):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(clf, "BLOCK", size)
+            whole.append(clf.fit_text(rows[:600], y[:600]))
+    assert (whole[0] == whole[1]).all()
+
+
+def test_the_driver_gives_memory_back(docs_of, passages, monkeypatch):
+    """After the models are fitted, with or without rows."""
+    calls = []
+    monkeypatch.setattr(clf, "released", lambda: calls.append(1))
+    docs = docs_of([passages(i, 20) for i in range(4)])
+    clf.fit(docs, docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).limit(0))
+    assert calls
+
+
 def test_classifier_on_odd_rows(spark, odd, clashing, none, docs_of, passages):
     rows, labels = corpus(passages, 200)
     known = spark.createDataFrame([*labels, (None, 1, 0), (1, None, None), (2, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
